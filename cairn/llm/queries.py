@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import bpe, mixing, neardup, splitting
+from cairn.llm import bpe, mixing, neardup, spam, splitting
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +47,14 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spam.stuffed_pages(table(spark, sf_dir, "documents"))
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spam.stuffed_pages(table(spark, sf_dir, "documents"), scores=True)
+
+
 _SHINGLES = r"""
   with w as (select rec_id, regexp_extract_all(code, '[A-Za-z0-9_]+') as w from code_records),
   s as (select distinct rec_id, unnest([w[i:i+3] for i in range(1, len(w) - 2)]) as g from w where len(w) >= 30),
@@ -55,7 +63,7 @@ _SHINGLES = r"""
   p as (select rec_id_a, rec_id_b from o join n x on x.rec_id = rec_id_a join n y on y.rec_id = rec_id_b where o >= 0.7 * (x.n + y.n - o) - 1e-9)
 """
 
-QUERIES = {"p2_found": p2_found, "p2_classes": p2_classes, "p3_found": p3_found, "p3_pieces": p3_pieces, "p6_ids": p6_ids, "p7_mix": p7_mix, "p7_shares": p7_shares}
+QUERIES = {"p2_found": p2_found, "p2_classes": p2_classes, "p3_found": p3_found, "p3_pieces": p3_pieces, "p6_ids": p6_ids, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_shares": p8_shares}
 
 SQL = {
     "p2_found": _SHINGLES + "select rec_id_a, rec_id_b from p",
