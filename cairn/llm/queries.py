@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import bpe, mixing, neardup, provenance, spam, splitting
+from cairn.llm import bpe, markup, mixing, neardup, provenance, spam, splitting
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,14 @@ def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.split_oversized(_items(spark, sf_dir))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markup.marked_fields(table(spark, sf_dir, "doc_sections"))
+
+
+def p4_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markup.clean_sections(table(spark, sf_dir, "doc_sections")).select("rec_id", "section_text", "heading_path")
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return provenance.not_handwritten(table(spark, sf_dir, "code_records"))
 
@@ -71,7 +79,7 @@ _SHINGLES = r"""
   p as (select rec_id_a, rec_id_b from o join n x on x.rec_id = rec_id_a join n y on y.rec_id = rec_id_b where o >= 0.7 * (x.n + y.n - o) - 1e-9)
 """
 
-QUERIES = {"p2_found": p2_found, "p2_classes": p2_classes, "p3_found": p3_found, "p3_pieces": p3_pieces, "p5_found": p5_found, "p5_reasons": p5_reasons, "p6_ids": p6_ids, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_shares": p8_shares}
+QUERIES = {"p2_found": p2_found, "p2_classes": p2_classes, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p4_clean": p4_clean, "p5_found": p5_found, "p5_reasons": p5_reasons, "p6_ids": p6_ids, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_shares": p8_shares}
 
 SQL = {
     "p2_found": _SHINGLES + "select rec_id_a, rec_id_b from p",
