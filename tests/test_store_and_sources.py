@@ -98,13 +98,13 @@ def test_jsonl(spark, tmp_path):
 
 def test_trees_and_manifests(spark, tmp_path):
     root = tmp_path / "src"
-    for p, t in (("official/a.py", "x = 1"), ("official/sub/b+c d.py", "é"), ("docs/g.md", "# T"), ("official/_manifest.json", json.dumps({"license": "MIT", "files": {"a.py": "U", "sub/b+c d.py": "V"}, "licenses": {"sub/b+c d.py": None}}))):
+    for p, t in (("official/a.py", "x = 1"), ("official/sub/b+c %41.py", "é"), ("docs/g.md", "# T"), ("official/_manifest.json", json.dumps({"license": "MIT", "files": {"a.py": "U", "sub/b+c %41.py": "V"}, "licenses": {"sub/b+c %41.py": None}}))):
         (root / p).parent.mkdir(parents=True, exist_ok=True)
         (root / p).write_text(t, encoding="utf-8")
     got = {(r.prefix, r.path): r.content for r in files.read_python(spark, str(root)).collect()}
-    assert got == {("official", "a.py"): "x = 1", ("official", "sub/b+c d.py"): "é"}
+    assert got == {("official", "a.py"): "x = 1", ("official", "sub/b+c %41.py"): "é"}
     assert [(r.prefix, r.path) for r in files.read_markdown(spark, str(root)).collect()] == [("docs", "g.md")]
-    assert sorted((r.path, r.url, r.license) for r in files.read_manifests(spark, str(root)).collect()) == [("a.py", "U", "MIT"), ("sub/b+c d.py", "V", None)]
+    assert sorted((r.path, r.url, r.license) for r in files.read_manifests(spark, str(root)).collect()) == [("a.py", "U", "MIT"), ("sub/b+c %41.py", "V", None)]
     assert files.read_manifests(spark, str(root / "docs")).count() == 0
     assert [s["prefix"] for s in Config(root=str(tmp_path / "none")).sources()] == []
 
