@@ -47,6 +47,8 @@ IMPLIED = {
     "tfoot": (frozenset(("td", "th", "tr", "tbody", "thead", "caption")), _TABLES),
     "option": (frozenset(("option",)), frozenset(("select",))),
 }
+#: Start tags that often follow text at once, as what they end has no end tag.
+_LOOSE = frozenset((*IMPLIED, "p"))
 _ENDS_P = frozenset("address article aside blockquote center details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 
 _OPEN, _CLOSE = "\ufdd0", "\ufdd1"
@@ -319,7 +321,7 @@ class Page:
             if name not in TAGS or any(not v and a not in BARE for a, v in attrs.items()):
                 continue
             close = bool(m.group(4))
-            if not close and not attrs and name not in VOID and m.start() and (text[m.start() - 1].isalnum() or text[m.start() - 1] == "_") and f"</{name}" not in text[m.end() :].lower():
+            if not close and not attrs and name not in VOID and name not in _LOOSE and m.start() and (text[m.start() - 1].isalnum() or text[m.start() - 1] == "_") and f"</{name}" not in text[m.end() :].lower():
                 continue  # a type with a parameter
             put(text[at : m.start()])
             at = m.end()

@@ -40,7 +40,7 @@ _LINK = re.compile(
     r"|(?<![\w./@-])(?:[a-z0-9-]+\.)+(?:com|org|net|io|info|biz|co|dev|app|shop|site|online|xyz|example|invalid|test)\b(?:/[^\s<>|,;\"')\]]*)?(?![\w(])",
     re.I | re.S,
 )
-_SENTENCE_END = re.compile(r"(?<=[.!?…。！？])[\"'”’»)\]]*\s+")
+_SENTENCE_END = re.compile(r"(?<=[.!?…。！？])[\"'”’»)\]]*\s+|(?<=[。！？])(?=\S)")
 #: What may follow the end of a sentence.
 _CLOSING = "\"'”’»)]"
 _ENDS = frozenset(".!?…。！？")
