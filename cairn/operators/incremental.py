@@ -35,8 +35,9 @@ def intervals(df: DataFrame, seq: str) -> DataFrame:
     Repeated numbers count once, null numbers have no place in a sequence and are left out (callers
     that may meet them must give them a number), an empty table gives no interval.
     """
-    n = df.select(F.col(seq).cast("bigint").alias("n")).where("n is not null").distinct()
-    n = n.withColumn("block", _block(F.col("n")))
+    n = df.select(F.col(seq).cast("bigint").alias("n")).where("n is not null")
+    # partitioned by block once: the distinct, the window and the grouping below need no further shuffle
+    n = n.withColumn("block", _block(F.col("n"))).repartition("block").distinct()
     w = Window.partitionBy("block").orderBy("n")
     return n.withColumn("run", F.col("n") - F.row_number().over(w)).groupBy("block", "run").agg(F.min("n").alias("lo"), F.max("n").alias("hi")).drop("run")
 
@@ -46,10 +47,10 @@ def _coverage(*parts: tuple[DataFrame, str]) -> DataFrame:
     names = [n for _, n in parts]
     events = None
     for df, name in parts:
-        for pos, step in ((F.col("lo"), 1), (F.col("hi") + 1, -1)):
-            e = df.select("block", pos.alias("pos"), *[F.lit(step if n == name else 0).cast("bigint").alias(n) for n in names])
-            events = e if events is None else events.unionAll(e)
-    at = events.groupBy("block", "pos").agg(*[F.sum(n).alias(n) for n in names])
+        ends = F.explode(F.array(F.struct(F.col("lo").alias("pos"), F.lit(1).alias("step")), F.struct((F.col("hi") + 1).alias("pos"), F.lit(-1).alias("step"))))
+        e = df.select("block", ends.alias("e")).select("block", "e.pos", *[(F.col("e.step") if n == name else F.lit(0)).cast("bigint").alias(n) for n in names])
+        events = e if events is None else events.unionAll(e)
+    at = events.repartition("block").groupBy("block", "pos").agg(*[F.sum(n).alias(n) for n in names])
     w = Window.partitionBy("block").orderBy("pos")
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return at.select("block", F.col("pos").alias("lo"), (F.lead("pos").over(w) - 1).alias("hi"), *[F.sum(n).over(run).alias(n) for n in names]).where("hi is not null")
@@ -188,22 +189,23 @@ def text_hash(text: Column, return_text: Column) -> Column:
     return F.sha2(F.concat(F.coalesce(text, F.lit("")), F.lit("\x00"), F.coalesce(return_text, F.lit(""))), 256)
 
 
-def _same_key(a: DataFrame, b: DataFrame) -> Column:
-    cond = F.lit(True)
-    for k in KEY:
-        cond = cond & a[k].eqNullSafe(b[k])
-    return cond
+#: Stands for a null in a key, so that groupings and joins share one partitioning.
+_NULL = "\x00null"
+
+
+def _key(name: str) -> Column:
+    return F.coalesce(F.col(name), F.lit(_NULL)).alias(name)
 
 
 def durable_entries(store_rows: DataFrame, load_flushes: DataFrame) -> DataFrame:
     """Per chunk the hash of its latest entry of a committed flush: (record_id, chunk_type, part, stored_hash).
 
     part is what ``id`` has behind record_id::chunk_type (nothing: 0). Of entries with equal written_at
-    the one with the larger entry_id counts; null written_at is older than any.
+    the one with the larger entry_id counts; null written_at is older than any. Nulls of a key are spelled out.
     """
     committed = load_flushes.where("committed_at is not null").select("flush_id").distinct()
     part = F.expr("coalesce(try_cast(nullif(substring(id, length(record_id) + length(chunk_type) + 5), '') as int), 0)")
-    rows = store_rows.join(committed, "flush_id", "left_semi").select("record_id", "chunk_type", part.alias("part"), "written_at", "entry_id", "text_hash")
+    rows = store_rows.join(committed, "flush_id", "left_semi").select(_key("record_id"), _key("chunk_type"), part.alias("part"), "written_at", "entry_id", "text_hash")
     order = F.struct(F.col("written_at").isNotNull(), "written_at", "entry_id")
     latest = rows.groupBy(*KEY).agg(F.max_by(F.struct("text_hash"), order).alias("last"))
     return latest.select(*KEY, F.col("last.text_hash").alias("stored_hash"))
@@ -211,7 +213,7 @@ def durable_entries(store_rows: DataFrame, load_flushes: DataFrame) -> DataFrame
 
 def _deliveries(chunks: DataFrame, *extra: Column) -> DataFrame:
     # a null parsed_at is older than any other
-    return chunks.select(F.col("chunk_seq").cast("bigint").alias("seq"), "record_id", "chunk_type", F.coalesce("part", F.lit(0)).cast("int").alias("part"), F.coalesce("parsed_at", F.lit("0001-01-01").cast("timestamp_ntz")).cast("timestamp_ntz").alias("parsed_at"), *extra)
+    return chunks.select(F.col("chunk_seq").cast("bigint").alias("seq"), _key("record_id"), _key("chunk_type"), F.coalesce("part", F.lit(0)).cast("int").alias("part"), F.coalesce("parsed_at", F.lit("0001-01-01").cast("timestamp_ntz")).cast("timestamp_ntz").alias("parsed_at"), *extra)
 
 
 def settled(chunks: DataFrame, store_rows: DataFrame, load_flushes: DataFrame) -> DataFrame:
@@ -222,9 +224,9 @@ def settled(chunks: DataFrame, store_rows: DataFrame, load_flushes: DataFrame) -
     """
     current = _deliveries(chunks).groupBy(*KEY).agg(F.max("parsed_at").alias("current_at"))
     durable = durable_entries(store_rows, load_flushes)
-    state = current.join(durable, _same_key(current, durable), "left").select(*[current[k] for k in KEY], "current_at", "stored_hash")
+    state = current.join(durable, KEY, "left")
     rows = _deliveries(chunks, text_hash(F.col("text"), F.col("return_text")).alias("hash"))
-    done = rows.join(state, _same_key(rows, state)).where((rows["parsed_at"] < F.col("current_at")) | (F.col("hash") == F.col("stored_hash")))
+    done = rows.join(state, KEY).where((F.col("parsed_at") < F.col("current_at")) | (F.col("hash") == F.col("stored_hash")))
     return intervals(done, "seq")
 
 
@@ -235,4 +237,4 @@ def pending_chunks(chunks: DataFrame, store_rows: DataFrame, load_flushes: DataF
     Repeated and late deliveries, and rows repeated whole, give one row. Empty tables give no row.
     """
     gaps = subtract(intervals(chunks, "chunk_seq"), settled(chunks, store_rows, load_flushes))
-    return rows_in(_deliveries(chunks).drop("parsed_at"), "seq", gaps).select(*KEY).distinct()
+    return rows_in(_deliveries(chunks).drop("parsed_at"), "seq", gaps).select(*KEY).distinct().select(F.nullif("record_id", F.lit(_NULL)).alias("record_id"), F.nullif("chunk_type", F.lit(_NULL)).alias("chunk_type"), "part")
