@@ -35,6 +35,8 @@ THRESHOLD = 0.7
 BITS = 512
 #: Members of a tile that one slot holds.
 SLOT = 512
+#: Copies of a class that one slot holds when pairs are expanded.
+COPIES = 1024
 
 _WORD = re.compile(r"[A-Za-z0-9_]+")
 _MULT = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
@@ -106,7 +108,8 @@ def _need(a: Column, b: Column, t: float) -> Column:
 
 def tile_rows(reps: DataFrame, t: float) -> DataFrame:
     """(token, cid, n): of each class the shingles of its prefix that other classes have too; rarest come first."""
-    tokens = reps.select("cid", "n", F.explode("h").alias("token"))
+    # one shuffle by token serves the count and the join; a class has a shingle once, so no shingle holds more than one row of each
+    tokens = reps.select("cid", "n", F.explode("h").alias("token")).repartition("token")
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     kept = tokens.join(shared, "token")
     # a class's shingles are as many as its text has; shingles of no other class come first in its order
@@ -173,13 +176,22 @@ def near_duplicate_pairs(records: DataFrame, id_col: str = "rec_id", text_col: s
     Shingles are compared by 64-bit hashes. An empty table gives no pair.
     """
     members, reps = classes(records, id_col, text_col)
+    sizes = members.groupBy("cid").agg(F.count(F.lit(1)).alias("copies")).withColumn("slots", F.ceil(F.col("copies") / F.lit(COPIES)).cast("int"))
+    placed = members.join(sizes, "cid").withColumn("slot", F.pmod(F.xxhash64("rec_id"), F.col("slots")).cast("int"))
     links = similar_classes(reps, t, slot).select("a", "b")
-    ma, mb = members.toDF("x", "a"), members.toDF("y", "b")
-    across = links.join(ma, "a").join(mb, "b").select(F.least("x", "y").alias("rec_id_a"), F.greatest("x", "y").alias("rec_id_b"))
-    within = ma.join(members.toDF("y", "a"), "a").where("x < y").select(F.col("x").alias("rec_id_a"), F.col("y").alias("rec_id_b"))
+    across = _expanded(_expanded(links, "a", placed, sizes, "x"), "b", placed, sizes, "y").select(F.least("x", "y").alias("rec_id_a"), F.greatest("x", "y").alias("rec_id_b"))
+    copied = placed.where("copies > 1").select(F.col("rec_id").alias("x"), F.col("cid").alias("c"))
+    within = _expanded(copied, "c", placed.where("copies > 1"), sizes, "y").where("x < y").select(F.col("x").alias("rec_id_a"), F.col("y").alias("rec_id_b"))
     return across.unionAll(within)
 
 
+def _expanded(rows: DataFrame, key: str, placed: DataFrame, sizes: DataFrame, out: str) -> DataFrame:
+    """rows joined with the members of class ``key``, slot by slot, so that a class of very many copies is many tasks."""
+    slots = sizes.select(F.col("cid").alias(key), F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"))
+    members = placed.select(F.col("cid").alias(key), "slot", F.col("rec_id").alias(out))
+    return rows.join(slots, key).join(members, [key, "slot"]).drop("slot")
+
+
 def near_duplicate_classes(records: DataFrame, id_col: str = "rec_id", text_col: str = "code", t: float = THRESHOLD) -> DataFrame:
     """(rec_id, class_id, copies, links): one row per record of at least MIN_WORDS words.
 

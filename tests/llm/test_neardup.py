@@ -38,8 +38,9 @@ def corpus(seed, families=12, size=7):
     return rows
 
 
-@pytest.mark.parametrize("slot", [nd.SLOT, 2])
-def test_against_brute_force(spark, slot):
+@pytest.mark.parametrize("slot,copies", [(nd.SLOT, nd.COPIES), (2, 2)])
+def test_against_brute_force(spark, monkeypatch, slot, copies):
+    monkeypatch.setattr(nd, "COPIES", copies)
     rows = corpus(5)
     got = nd.near_duplicate_pairs(frame(spark, rows), slot=slot).collect()
     assert sorted((r.rec_id_a, r.rec_id_b) for r in got) == brute(rows)
