@@ -49,6 +49,8 @@ IMPLIED = {
 }
 #: Start tags that often follow text at once, as what they end has no end tag.
 _LOOSE = frozenset((*IMPLIED, "p"))
+#: Open elements at most; deeper ones are laid out beside each other, their text stays.
+DEPTH = 120
 _ENDS_P = frozenset("address article aside blockquote center details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 
 _OPEN, _CLOSE = "\ufdd0", "\ufdd1"
@@ -63,7 +65,7 @@ _ENTITY = re.compile(r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]
 _ASIDE = re.compile(
     r"(?P<fence>^(?P<in>[ \t]*(?:[-*+][ \t]+|\d+[.)][ \t]+)?)(?P<mark>`{3,}|~{3,})[^\n]*(?:\n[\s\S]*?(?:^[ \t]*(?P=mark)[`~]*[ \t]*$|\Z)|\Z))"
     r"|(?P<comment><!--[\s\S]*?(?:-->|\Z))"
-    rf"|(?P<raw><(?P<rawname>pre|code|syntaxhighlight|source|nowiki|tt|samp|kbd|math|script|style|xmp|listing)\b(?P<rawattrs>{_ATTRS})\s*>(?P<rawtext>[\s\S]*?)</(?P=rawname)\s*>)"
+    rf"|(?P<raw><(?P<rawname>pre|code|syntaxhighlight|source|nowiki|tt|samp|kbd|math|script|style|xmp|listing)\b(?P<rawattrs>{_ATTRS})\s*>(?P<rawtext>(?:(?!<(?P=rawname)\b)[\s\S])*?)</(?P=rawname)\s*>)"
     r"|(?P<ticks>(?P<t>`+)(?!`)(?:[^`\n]|\n(?!\s*\n)|(?!(?P=t)(?!`))`+)+?(?<!`)(?P=t)(?!`))"
     r"|(?P<dollars>\$\$(?=\S|\n)[\s\S]*?\$\$)"
     r"|(?P<dollar>(?<![\w\\$])\$(?=[^\s$\d]|\d+[^\s\d.,$][^$\n]*\$)(?:[^$\n\\]|\\.|\n(?!\s*\n))*?(?<=[^\s\\])\$(?![\w$]))"
@@ -356,7 +358,7 @@ class Page:
                 stack.append(row)
             node: list = [name, attrs, []]
             stack[-1][2].append(node)
-            if name not in VOID and not m.group(3):
+            if name not in VOID and not m.group(3) and len(stack) < DEPTH:
                 stack.append(node)
         put(text[at:])
         return root

@@ -35,7 +35,7 @@ REPLICATED = 0.5
 
 _WORD = re.compile(r"\w+")
 _LINK = re.compile(
-    r"<a\s[^>]*>.*?</a>|!?\[[^\]\n]*\]\([^)\s]*\)|(?:https?://|www\.)[^\s<>|,;\"')\]]+"
+    r"<a\s[^<>]*>[^<]*(?:<(?!/?a[\s>])[^<]*)*</a>|!?\[[^\[\]\n]*\]\([^()\s]*(?:\([^()\s]*\)[^()\s]*)*\)|(?:https?://|www\.)[^\s<>|,;\"')\]]+"
     # a bare host: reserved and usual top-level names, with or without a path
     r"|(?<![\w./@-])(?:[a-z0-9-]+\.)+(?:com|org|net|io|info|biz|co|dev|app|shop|site|online|xyz|example|invalid|test)\b(?:/[^\s<>|,;\"')\]]*)?(?![\w(])",
     re.I | re.S,
@@ -46,7 +46,7 @@ _CLOSING = "\"'”’»)]"
 _ENDS = frozenset(".!?…。！？")
 _ITEMS = re.compile(r"\s*[|•;,»·/]\s*|\s+[-–—]\s+|\s*::\s*")
 _LOG = re.compile(r"^\W*\d{4}-\d\d-\d\d[ T]\d\d:\d\d")
-_CODE = re.compile(r"^\s*(?:(?:async )?def |class |import |from \w|return\b|for \w+.* in |while |if .*:$|elif |else:|with .*:$|try:|except\b|raise |assert |@\w|print\(|#\s)|[\w\])][ ]?[-+*/|]?=[ ]?\S|\w\(.*\)|[{}]|==|->|^\s*[\])}]|^\s*File \"")
+_CODE = re.compile(r"^\s*(?:(?:async )?def |class |import |from \w|return\b|for \w+.* in |while |if .*:$|elif |else:|with .*:$|try:|except\b|raise |assert |@\w|print\(|#\s)|[\w\])][ ]?[-+*/|]?=[ ]?\S|\w\([^()]*\)|[{}]|==|->|^\s*[\])}]|^\s*File \"")
 _TAG = re.compile(r"(?:^|\s)#\w[\w-]*")
 #: A quick test that every link passes.
 _MAYBE_LINK = re.compile(r"://|www\.|\]\(|<a\s|\w\.[a-z]", re.I)

@@ -78,7 +78,7 @@ def test_rendering_again_finds_nothing():
 
 
 def test_broken_and_long_input_ends():
-    for t in ("<" * 5000, "[" * 3000, "`" * 3001, "**" * 2000, "{{" * 2000, "<div>" * 900, "$" * 999, "\\" * 1000, "<table><tr>" * 300, "_a" * 2000, "|" * 2000, "\ufdd0\ufdd1" * 10):
+    for t in ("<" * 5000, "[" * 3000, "`" * 3001, "**" * 2000, "{{" * 2000, "<div>" * 900, "$" * 999, "\\" * 1000, "<table><tr>" * 300, "_a" * 2000, "|" * 2000, "\ufdd0\ufdd1" * 10, "<pre>" * 5000, "<code>x" * 5000, "<!-- " * 5000, "\\begin{equation}" * 500, "[a](" * 3000, "`a ``b " * 3000):
         m.render(t)
     assert len(m.render("word **b** " * 20000)[0]) == len("word b " * 20000) - 1
 

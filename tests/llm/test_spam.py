@@ -58,5 +58,7 @@ def test_empty_repeated_and_null_sites(spark):
 
 
 def test_long_text_ends():
+    for bad in ("<a x" * 50_000, "f(" * 100_000, "[a](" * 50_000, "#" * 100_000, "a.b" * 50_000, "www." * 50_000):
+        spam.stretches(bad)
     total, _, found = spam.stretches(("word " * 300_000) + "\n" + "a" * 500_000)
     assert total == 4 * 300_000 + 500_000 and found
