@@ -59,10 +59,13 @@ _NAME = r"[A-Za-z][A-Za-z0-9]*"
 _ATTRS = r"(?:\s+[A-Za-z_:@][\w:.@-]*(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'<>=`]+))?)*"
 _TAG = re.compile(rf"<({_NAME})({_ATTRS})\s*(/?)>|</({_NAME})\s*>")
 _ATTR = re.compile(r"([A-Za-z_:@][\w:.@-]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'<>=`]+))?")
+#: What a line that means something begins with, unless the next one does.
+_SPECIAL = frozenset("#>[-*_")
 _ENTITY = re.compile(r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});")
 
 #: What is set aside, leftmost first.
 _ASIDE = re.compile(
+    rf"(?=[`~<$\\ \t\d*+\-{_OPEN}{_CLOSE}])(?:"
     r"(?P<fence>^(?P<in>[ \t]*(?:[-*+][ \t]+|\d+[.)][ \t]+)?)(?P<mark>`{3,}|~{3,})[^\n]*(?:\n[\s\S]*?(?:^[ \t]*(?P=mark)[`~]*[ \t]*$|\Z)|\Z))"
     r"|(?P<comment><!--[\s\S]*?(?:-->|\Z))"
     rf"|(?P<raw><(?P<rawname>pre|code|syntaxhighlight|source|nowiki|tt|samp|kbd|math|script|style|xmp|listing)\b(?P<rawattrs>{_ATTRS})\s*>(?P<rawtext>(?:(?!<(?P=rawname)\b)[\s\S])*?)</(?P=rawname)\s*>)"
@@ -72,7 +75,7 @@ _ASIDE = re.compile(
     r"|(?P<env>\\begin\{(?P<envname>equation|align|gather|multline|eqnarray|displaymath|math|verbatim|lstlisting|minted)(?P<star>\*?)\}(?P<envtext>[\s\S]*?)\\end\{(?P=envname)(?P=star)\})"
     r"|(?P<show>\\\[(?P<showtext>[^\n]*?[=^_\\{}][^\n]*?|\n[\s\S]*?)\\\])"
     r"|(?P<short>\\\((?P<shorttext>[^\n]*?)\\\))"
-    rf"|(?P<own>[{_OPEN}{_CLOSE}])",
+    rf"|(?P<own>[{_OPEN}{_CLOSE}]))",
     re.M | re.I,
 )
 
@@ -140,16 +143,23 @@ class Page:
     # ------------------------------------------------ wiki
 
     def _wiki(self, text: str) -> str:
-        text = re.sub(r"^[ \t]*\{\|([\s\S]*?)^[ \t]*\|\}", self._wiki_table, text, flags=re.M)
-        for _ in range(8):  # templates may hold templates
+        if "{|" in text:
+            text = re.sub(r"^[ \t]*\{\|([\s\S]*?)^[ \t]*\|\}", self._wiki_table, text, flags=re.M)
+        for _ in range(8 if "{{" in text else 0):  # templates may hold templates
             new = re.sub(r"\{\{([A-Za-z#:][^{}|\n]*)((?:\|[^{}]*)?)\}\}", self._template, text)
             if new == text:
                 break
             text = new
-        text = re.sub(r"\[\[(?:(?:File|Image|Datei|Fichier):[^\[\]\n]*?\|)?([A-Za-z:/#][^\[\]|\n]*)((?:\|[^\[\]|\n]*)*)\]\]", lambda m: self.mark((m.group(2).rsplit("|", 1)[1] if m.group(2) else m.group(1)).strip()), text)
-        text = re.sub(r"(?<![\w\]])\[(https?://[^\s\]]+)[ \t]+([^\]\n]+)\]", lambda m: self.mark(m.group(2)), text)
-        text = re.sub(r"('{2,5})(?=[^\s'])([^'\n]+?)(?<=[^\s'])\1(?!')", lambda m: self.mark(m.group(2)), text)
-        text = re.sub(r"^[ \t]*(={2,6})[ \t]*(?=[^=\s])(.*?\S)[ \t]*\1[ \t]*$", lambda m: self.mark(f"<h{len(m.group(1))}>{m.group(2)}</h{len(m.group(1))}>"), text, flags=re.M)
+        if "[[" in text:
+            text = re.sub(r"\[\[(?:(?:File|Image|Datei|Fichier):[^\[\]\n]*?\|)?([A-Za-z:/#][^\[\]|\n]*)((?:\|[^\[\]|\n]*)*)\]\]", lambda m: self.mark((m.group(2).rsplit("|", 1)[1] if m.group(2) else m.group(1)).strip()), text)
+        if "[http" in text:
+            text = re.sub(r"\[(?<![\w\]]\[)(https?://[^\s\]]+)[ \t]+([^\]\n]+)\]", lambda m: self.mark(m.group(2)), text)
+        if "''" in text:
+            text = re.sub(r"('{2,5})(?=[^\s'])([^'\n]+?)(?<=[^\s'])\1(?!')", lambda m: self.mark(m.group(2)), text)
+        if "==" in text:
+            text = re.sub(r"^[ \t]*(={2,6})[ \t]*(?=[^=\s])(.*?\S)[ \t]*\1[ \t]*$", lambda m: self.mark(f"<h{len(m.group(1))}>{m.group(2)}</h{len(m.group(1))}>"), text, flags=re.M)
+        if "TOC__" not in text and "__NO" not in text:
+            return text
         return re.sub(r"^[ \t]*__(?:TOC|NOTOC|FORCETOC|NOEDITSECTION)__[ \t]*$", lambda m: self.mark(""), text, flags=re.M)
 
     def _template(self, m: re.Match) -> str:
@@ -224,21 +234,33 @@ class Page:
     def _markdown(self, text: str, title: bool) -> str:
         if title:
             text = re.sub(r"[ \t]+#+[ \t]*$", lambda m: self.mark(""), text)
-        text = re.sub(r"[ \t]*(?<!\{)\{:?[ \t]*(?:[#.][A-Za-z][\w:-]*[ \t]*)+\}", lambda m: self.mark(""), text)
+        if "{#" in text or "{." in text or "{:" in text or "{ " in text:
+            text = re.sub(r"[ \t]*(?<!\{)\{:?[ \t]*(?:[#.][A-Za-z][\w:-]*[ \t]*)+\}", lambda m: self.mark(""), text)
         text = self._lines(text)
-        text = re.sub(r"!\[([^\]\n]*)\]\(\s*<?[^()\s]*(?:\([^()\s]*\)[^()\s]*)*>?(?:\s+(?:\"[^\"\n]*\"|'[^'\n]*'))?\s*\)", lambda m: self.mark(m.group(1)), text)
-        for _ in range(2):
-            text = re.sub(r"(?<![\w\]\\])\[((?:[^\[\]\n]|\[[^\[\]\n]*\])*)\]\(\s*<?[^()\s]*(?:\([^()\s]*\)[^()\s]*)*>?(?:\s+(?:\"[^\"\n]*\"|'[^'\n]*'))?\s*\)", lambda m: self.mark(m.group(1)), text)
-        text = re.sub(r"(?<![\w\]\\])!?\[([^\[\]\n]+)\]\[([^\[\]\n^]*)\](?!\()", lambda m: self.mark(m.group(1)), text)
-        text = re.sub(r"\[\^([^\]\s]+)\]", lambda m: self.mark(f"[{m.group(1)}]"), text)
-        text = re.sub(r"<((?:https?|ftp|mailto):[^\s<>]+|[\w.+-]+@[\w-]+\.[\w.]+)>", lambda m: self.mark(self.atom(m.group(1))), text)
+        if "![" in text:
+            text = re.sub(r"!\[([^\]\n]*)\]\(\s*<?[^()\s]*(?:\([^()\s]*\)[^()\s]*)*>?(?:\s+(?:\"[^\"\n]*\"|'[^'\n]*'))?\s*\)", lambda m: self.mark(m.group(1)), text)
+        for _ in range(2 if "](" in text else 0):
+            text = re.sub(r"\[(?<![\w\]\\]\[)((?:[^\[\]\n]|\[[^\[\]\n]*\])*)\]\(\s*<?[^()\s]*(?:\([^()\s]*\)[^()\s]*)*>?(?:\s+(?:\"[^\"\n]*\"|'[^'\n]*'))?\s*\)", lambda m: self.mark(m.group(1)), text)
+        if "][" in text:
+            text = re.sub(r"(?<![\w\]\\])!?\[([^\[\]\n]+)\]\[([^\[\]\n^]*)\](?!\()", lambda m: self.mark(m.group(1)), text)
+        if "[^" in text:
+            text = re.sub(r"\[\^([^\]\s]+)\]", lambda m: self.mark(f"[{m.group(1)}]"), text)
+        if "<" in text:
+            text = re.sub(r"<((?:https?|ftp|mailto):[^\s<>]+|[\w.+-]+@[\w-]+\.[\w.]+)>", lambda m: self.mark(self.atom(m.group(1))), text)
         # escapes are characters, so they are set aside before emphasis is looked for
-        text = re.sub(r"(?<![\\:])\\([!-/:-@\[\]-`{-~])", lambda m: self.mark(self.atom(m.group(1))), text)
+        if "\\" in text:
+            text = re.sub(r"\\(?<![\\:]\\)([!-/:-@\[\]-`{-~])", lambda m: self.mark(self.atom(m.group(1))), text)
         for stars in ("***", "**", "*"):
+            if text.count(stars) < 2:
+                continue
             s = re.escape(stars)
-            text = re.sub(rf"(?<![\w*]){s}(?=[^\s*])((?:[^*\n]|\n(?![ \t]*\n|[ \t]*[*+-][ \t]))+?)(?<=[^\s*]){s}(?![\w*])", lambda m: self.mark(m.group(1)), text)
-        text = re.sub(r"(?<!\w)__(?=[^\s_])([^_\n]*[^\S\n][^_\n]*)(?<=[^\s_])__(?!\w)", lambda m: self.mark(m.group(1)), text)
-        text = re.sub(r"(?<!\w)_(?=[^\s_])([^_\n]{1,80}?)(?<=[^\s_])_(?!\w)", lambda m: self.mark(m.group(1)), text)
+            text = re.sub(rf"{s}(?<![\w*]{s})(?=[^\s*])((?:[^*\n]|\n(?![ \t]*\n|[ \t]*[*+-][ \t]))+?)(?<=[^\s*]){s}(?![\w*])", lambda m: self.mark(m.group(1)), text)
+        if text.count("__") > 1:
+            text = re.sub(r"__(?<!\w__)(?=[^\s_])([^_\n]*[^\S\n][^_\n]*)(?<=[^\s_])__(?!\w)", lambda m: self.mark(m.group(1)), text)
+        if text.count("_") > 1:
+            text = re.sub(r"_(?<!\w_)(?=[^\s_])([^_\n]{1,80}?)(?<=[^\s_])_(?!\w)", lambda m: self.mark(m.group(1)), text)
+        if text.count("~~") < 2:
+            return text
         return re.sub(r"~~(?=[^\s~])([^~\n]+?)(?<=[^\s~])~~", lambda m: self.mark(m.group(1)), text)
 
     def _lines(self, text: str) -> str:
@@ -247,6 +269,10 @@ class Page:
         while i < len(lines):
             line = lines[i]
             following = lines[i + 1] if i + 1 < len(lines) else ""
+            if "|" not in line and line.lstrip()[:1] not in _SPECIAL and following.lstrip()[:1] not in ("=", "-"):
+                out.append(line)
+                i += 1
+                continue
             if "|" in line and "|" in following and rule.match(following):
                 j = i
                 while j < len(lines) and "|" in lines[j]:
