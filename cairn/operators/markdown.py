@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cairn.runtime import spread
+
 # fixed values: the line forms that results depend on
 HEADING = re.compile(r"^(#{1,6})\s+(.+?)\s*$")
 FENCE = re.compile(r"^\s*(```+|~~~+)")
@@ -99,6 +101,6 @@ def parse_markdown(files: DataFrame, comment_scope: str = "all") -> DataFrame:
             yield pa.record_batch([b.column("prefix"), pa.array(rows, pa.list_(_SECTION))], names=["prefix", "found"])
 
     one = "struct<name:string,heading_path:array<string>,heading_level:int,section_text:string,source:string,code:string,license:string>"
-    parsed = files.select("prefix", "path", "content").mapInArrow(parse, f"prefix string, found array<{one}>")
+    parsed = spread(files.select("prefix", "path", "content")).mapInArrow(parse, f"prefix string, found array<{one}>")
     flat = parsed.select(F.concat("prefix", F.lit("_docs")).alias("corpus"), F.explode("found").alias("s"))
     return flat.select("s.name", F.lit("doc_section").alias("kind"), "s.heading_path", "s.heading_level", "s.section_text", "s.source", "s.code", "s.license", "corpus")

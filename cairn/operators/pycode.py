@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairn.operators.policy import longest_known, prefix_minimal, score_files
+from cairn.runtime import materialise, spread
 
 _DEFS = (ast.FunctionDef, ast.AsyncFunctionDef)
 _SEGMENT = "struct<symbol:string,code:string,start:int,end:int,refs:array<string>>"
@@ -90,7 +91,7 @@ def read_code(files: DataFrame, module: str) -> DataFrame:
                     parts.append([]), dens.append([]), n.append(None), errors.append(f"{type(err).__name__}: {err}")
             yield pa.record_batch([b.column("prefix"), b.column("path"), pa.array(parts, pa.list_(_ARROW_SEGMENT)), pa.array(dens, pa.list_(_ARROW_DENSITY)), pa.array(n, pa.int32()), pa.array(errors, pa.string())], names=["prefix", "path", "segments", "density", "lines", "error"])
 
-    return files.select("prefix", "path", "content").mapInArrow(parse, f"prefix string, path string, segments array<{_SEGMENT}>, density array<{_DENSITY}>, lines int, error string")
+    return spread(files.select("prefix", "path", "content")).mapInArrow(parse, f"prefix string, path string, segments array<{_SEGMENT}>, density array<{_DENSITY}>, lines int, error string")
 
 
 def resolved(rows: DataFrame, keys: list[str], known: DataFrame) -> DataFrame:
@@ -106,7 +107,7 @@ def code_records(files: DataFrame, module: str, known: DataFrame, manifest: Data
 
     manifest (prefix, path, url, license) is optional; without a url a record has no source.
     """
-    read = read_code(files, module)
+    read = materialise(read_code(files, module), "code")  # parsed once, read several times
     errors = read.where("error is not null").select("prefix", "path", "error")
     flat = read.select("prefix", "path", F.posexplode("segments").alias("ord", "s")).select("prefix", "path", "ord", "s.*")
     keys = ["prefix", "path", "ord"]
@@ -124,7 +125,7 @@ def code_records(files: DataFrame, module: str, known: DataFrame, manifest: Data
 def file_scores(files: DataFrame, module: str, known: DataFrame, min_apis: int = 3) -> DataFrame:
     """(prefix, path, apis_used, unknown_refs, n_unknown, lines, max_apis_in_function, qualifying_functions): files that parse and use at least one known API."""
     keys = ["prefix", "path"]
-    read = read_code(files, module).where("error is null")
+    read = materialise(read_code(files, module), "code").where("error is null")
     whole = resolved(read.select(*keys, F.array_distinct(F.flatten(F.transform("segments", lambda s: s.getField("refs")))).alias("refs")), keys, known).where(F.size("apis_used") > 0)
     per = read.select(*keys, F.explode("density").alias("d")).select(*keys, "d.function", "d.refs")
     apis = resolved(per, [*keys, "function"], known).select(*keys, "function", F.explode("apis_used").alias("api"))
