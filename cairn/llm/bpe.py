@@ -25,6 +25,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cairn.runtime import spread
+
 #: Where the vocabulary lies; the default is the installed public package.
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: The public pattern that splits a text before the merges.
@@ -188,7 +190,7 @@ def encode_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.record_batch([b.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=[id_col, "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, F.col(text_col).alias("text")).mapInArrow(encode, f"`{id_col}` {kind}, ids array<int>")
+    return spread(docs.select(id_col, F.col(text_col).alias("text"))).mapInArrow(encode, f"`{id_col}` {kind}, ids array<int>")
 
 
 def count_tokens(docs: DataFrame, keep: list[str], text_col: str = "text", path: str | None = None) -> DataFrame:
@@ -202,4 +204,4 @@ def count_tokens(docs: DataFrame, keep: list[str], text_col: str = "text", path:
             yield pa.record_batch([*[b.column(c) for c in keep], n], names=[*keep, "n_tokens"])
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(count, fields + ", n_tokens bigint")
+    return spread(docs.select(*keep, F.col(text_col).alias("__text"))).mapInArrow(count, fields + ", n_tokens bigint")

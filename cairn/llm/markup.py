@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cairn.runtime import spread
+
 #: Element names that make a tag (fixed values: HTML, and what wikis add).
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big button cite code data del dfn em font i img input ins kbd label mark meter nobr output progress q rp rt ruby s samp select small span strike strong sub sup textarea time tt u var wbr ref nowiki br".split()
@@ -545,7 +547,7 @@ def clean_sections(sections: DataFrame) -> DataFrame:
     Sections are independent: there is no shuffle, and extra columns never leave the scan.
     """
     rows = sections.select(F.col("rec_id").cast("bigint").alias("rec_id"), F.col("section_text").cast("string").alias("section_text"), F.col("heading_path").cast("array<string>").alias("heading_path"))
-    return rows.mapInArrow(_rendered, "rec_id bigint, section_text string, heading_path array<string>, in_text int, in_path int")
+    return spread(rows).mapInArrow(_rendered, "rec_id bigint, section_text string, heading_path array<string>, in_text int, in_path int")
 
 
 def marked_fields(sections: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cairn.llm import bpe
-from cairn.runtime import materialise
+from cairn.runtime import materialise, spread
 
 SEED = 20_240_517
 BUCKETS = 4096
@@ -74,7 +74,7 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None,
     never in it; null and empty texts have 0 tokens and follow their source. Rows repeated whole are
     separate documents. The report has target_share, the share the mix really has, and the plan.
     """
-    sized = docs.select("doc_id", "source", "text").join(F.broadcast(targets.select("source").distinct().limit(MAX_SOURCES)), "source", "left_semi")
+    sized = spread(docs.select("doc_id", "source", "text")).join(F.broadcast(targets.select("source").distinct().limit(MAX_SOURCES)), "source", "left_semi")
     sized = materialise(bpe.count_tokens(sized, ["doc_id", "source"], path=path), "tokens")
     plan = plan_mix(sized, targets, total_tokens)
     h = sized.withColumn("h", F.xxhash64(F.lit(seed), F.col("doc_id"))).withColumn("bucket", F.pmod("h", F.lit(BUCKETS)).cast("int"))

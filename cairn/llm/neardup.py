@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cairn.runtime import materialise
+from cairn.runtime import materialise, spread
 
 WORDS = 4
 MIN_WORDS = 30
@@ -98,7 +98,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def shingle_sets(records: DataFrame, id_col: str = "rec_id", text_col: str = "code") -> DataFrame:
     """(rec_id, print, n, h, sig) of each record with at least MIN_WORDS words; null and short texts have none."""
-    return records.select(F.col(id_col).cast("bigint").alias("rec_id"), F.col(text_col).alias("code")).where(F.length("code") >= 2 * MIN_WORDS - 1).mapInArrow(_sets, "rec_id bigint, print binary, n int, h array<bigint>, sig array<bigint>")
+    long = records.select(F.col(id_col).cast("bigint").alias("rec_id"), F.col(text_col).alias("code")).where(F.length("code") >= 2 * MIN_WORDS - 1)
+    return spread(long).mapInArrow(_sets, "rec_id bigint, print binary, n int, h array<bigint>, sig array<bigint>")
 
 
 def _need(a: Column, b: Column, t: float) -> Column:

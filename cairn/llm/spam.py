@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.runtime import materialise
+from cairn.runtime import materialise, spread
 
 #: Share of a page above which it is a case.
 SHARE = 0.5
@@ -164,7 +164,7 @@ def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def page_evidence(docs: DataFrame) -> DataFrame:
     """(doc_id, site, total, links, parts): one row per page that has anything list-like. Null and blank texts have none; a null site counts as one host."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("site").cast("string"), F.lit("")).alias("site"), F.col("text").cast("string").alias("text"))
-    return rows.where(F.length("text") > 0).mapInArrow(_pages, "doc_id bigint, site string, total bigint, links bigint, parts array<struct<size:int,dense:boolean,shingles:array<bigint>>>")
+    return spread(rows.where(F.length("text") > 0)).mapInArrow(_pages, "doc_id bigint, site string, total bigint, links bigint, parts array<struct<size:int,dense:boolean,shingles:array<bigint>>>")
 
 
 def stuffed_pages(docs: DataFrame, hosts: int = HOSTS, replicated: float = REPLICATED, share: float = SHARE, scores: bool = False) -> DataFrame:

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cairn.runtime import spread
+
 LIMIT = 2000
 OVERLAP = 200
 
@@ -152,7 +154,7 @@ def split_oversized(items: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP
                 yield pa.record_batch([*part.select(["tab", "item_id", "field"]).columns, out], names=["tab", "item_id", "field", "pieces"])
 
     big = items.where(F.length("value") > limit).select(F.col("tab").cast("string").alias("tab"), F.col("item_id").cast("bigint").alias("item_id"), F.col("field").cast("string").alias("field"), "value")
-    done = big.mapInArrow(split, f"tab string, item_id bigint, field string, pieces {_PIECES}")
+    done = spread(big).mapInArrow(split, f"tab string, item_id bigint, field string, pieces {_PIECES}")
     cols = ["part", "start", "end", "strength"] + ["text"] * with_text
     return done.select("tab", "item_id", "field", F.explode("pieces").alias("p")).select("tab", "item_id", "field", *[f"p.{c}" for c in cols])
 
