@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -59,11 +61,20 @@ def spread(df: DataFrame) -> DataFrame:
     return df if plan.execute().getNumPartitions() >= cores else df.repartition(cores)
 
 
+_SHIPPED: set[str] = set()
+
+
 def ship(spark: SparkSession) -> None:
-    """Sends this package to executors on which it isn't installed."""
+    """Sends this package to the executors, once per application, as they may not have it installed."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
     root = Path(__file__).resolve().parent
-    target = os.path.join(tempfile.mkdtemp(prefix="cairn-ship-"), "cairn.zip")
+    folder = tempfile.mkdtemp(prefix="cairn-ship-")  # the driver's own: it serves the file as long as it runs
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    target = os.path.join(folder, "cairn.zip")
     with zipfile.ZipFile(target, "w") as z:
         for p in sorted(root.rglob("*.py")):
             z.write(p, p.relative_to(root.parent))
     spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(app)
