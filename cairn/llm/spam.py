@@ -4,10 +4,11 @@ Method: phrase shingles are exploded and their distinct hosts counted; a page is
 half of it is stitched from phrases that other hosts repeat, joined with list-density evidence.
 
 A page is cut into stretches. Sentences, code, logs, changes and descriptions are prose; what is left
-is list-like: runs of short items, bare links with their anchors, tags, or sentences that repeat a
-phrase within themselves. A list-like stretch counts as stuffing if its list density is high by itself
-(its words or word pairs recur, or it is links or tags), or if most of its phrase shingles (pairs of
-words) occur on at least ``HOSTS`` hosts. Only list-like stretches give shingles, each once a page.
+is list-like: runs of short items, bare links with their anchors, tags, sentences that repeat a
+phrase within themselves, or runs of short sentences of hardly any words but the same. A list-like
+stretch counts as stuffing if its list density is high by itself (its words or word pairs recur, or it
+is links or tags), or if most of its phrase shingles (pairs of words) occur on at least ``HOSTS``
+hosts. Only list-like stretches give shingles, each once a page.
 
 Scale: one narrow pass over the texts, then shingles as 64-bit hashes; hosts are counted by two
 partial aggregations, so a site with a third of all pages is pre-aggregated before the shuffle.
@@ -82,9 +83,17 @@ def stretches(text: str) -> tuple[int, int, list[tuple[int, bool, list[str]]]]:
     total, links, found = 0, 0, []
     run: list[str] = []
     run_size = 0
-
-    def flush() -> None:
-        nonlocal run, run_size
+    closed: list[str] = []  # the words of sentences of under 8 words, which are too short to repeat a phrase
+    closed_size = 0
+
+    def flush(both: bool = True) -> None:
+        nonlocal run, run_size, closed, closed_size
+        if both:
+            if len(closed) >= 8:
+                alone, paired = _coverage(closed)
+                if alone >= 0.8 and paired >= 0.5:  # prose has other words in every sentence, however alike they are
+                    found.append((closed_size, _coverage(closed, 3)[0] >= 0.8, closed))
+            closed, closed_size = [], 0
         if len(run) >= 8:
             alone, paired = _coverage(run, 3 if len(run) >= 30 else 2)
             found.append((run_size, alone >= 0.6 or paired >= 0.5, run))
@@ -119,8 +128,8 @@ def stretches(text: str) -> tuple[int, int, list[tuple[int, bool, list[str]]]]:
         for sentence in _SENTENCE_END.split(line):
             words = _WORD.findall(sentence.lower())
             n, end = len(words), _ends(sentence)
-            if end and n < 12 and not sentence.isascii() and _CJK.search(sentence):
-                flush()  # words aren't divided here: a clause that ends as a sentence does is prose
+            if end and 1 < n < 12 and not sentence.isascii() and _CJK.search(sentence) and sum(map(bool, map(_WORD.search, sentence.split()))) == 1:
+                flush()  # words aren't divided here: clauses that end as a sentence does are prose
                 continue
             few = len(set(words)) <= 0.85 * n  # with more distinct words too few pairs can recur
             if end:
@@ -129,6 +138,10 @@ def stretches(text: str) -> tuple[int, int, list[tuple[int, bool, list[str]]]]:
                 elif n < 4 and run:
                     run += words
                     run_size += _size(sentence)
+                elif n < 8:
+                    flush(both=False)
+                    closed += words
+                    closed_size += _size(sentence)
                 else:
                     flush()
                 continue

@@ -62,3 +62,30 @@ def test_long_text_ends():
         spam.stretches(bad)
     total, _, found = spam.stretches(("word " * 300_000) + "\n" + "a" * 500_000)
     assert total == 4 * 300_000 + 500_000 and found
+
+
+def test_keywords_between_full_stops(spark):
+    rng = random.Random(8)
+    names = ["メッシュ修復jacobian", "点群無料", "形状ソフト比較", "三次元curve激安"]
+    bad = [
+        " ".join(f"{names[0]} {rng.choice(names)} {names[0]}." for _ in range(20)),
+        "\n".join(" ".join(rng.choice(names) for _ in range(9)) + "。" for _ in range(5)),
+        "".join(f"{rng.choice(names)}。" for _ in range(40)),
+        " ".join(f"Best {rng.choice(PHRASES)}. Top {rng.choice(PHRASES)}!" for _ in range(20)),
+    ]
+    good = [
+        "".join(f"半径を{i}ミリに変えると、面の向きが安定しました。trimの処理には約{i}秒かかりますが、結果は保存されます。" for i in range(12)),
+        "Grid notes\n" + "".join(f"- 半径を{i % 3}ミリに変えると、面の向きが安定しました。\n" for i in range(12)),
+        "".join(f"第{i}の格子は閉じています。面{i}の向きは安定しました。" for i in range(12)),
+        "그물의 꼭짓점을 합칩니다. 면의 방향을 바꿉니다. 결과는 파일에 저장됩니다. 곡선을 더 부드럽게 만듭니다. 경계가 닫혀 있지 않습니다.",
+        " ".join(f"Returns the {w}." for w in SENTENCES.replace(".", "").split()),
+    ]
+    got = sorted(r.doc_id for r in spam.stuffed_pages(pages(spark, [*good, *bad])).collect())
+    assert got == list(range(len(good), len(good) + len(bad)))
+
+
+def test_short_sentences_decide_by_other_hosts(spark):
+    # each name twice: the run is list-like, and only hosts that have the same one make it stuffing
+    menu = "点群無料 格子比較. 曲線激安 網目修復. 曲線激安 網目修復. 点群無料 格子比較."
+    assert spam.stuffed_pages(pages(spark, [menu, SENTENCES])).count() == 0
+    assert spam.stuffed_pages(pages(spark, [menu] * 5, site=lambda i: f"h{i}")).count() == 5
