@@ -149,11 +149,8 @@ class Tokenizer:
         self.known = _Remember(ranks)
 
     def _stretches(self, text: str) -> list[str]:
-        parts = _SPLIT.split(text) if "  " in text else text.split(" ")
-        if len(parts) > 1:
-            parts[1:] = [" " + p for p in parts[1:]]
-            if not parts[0]:
-                del parts[0]
+        parts = _SPLIT.split(text)
+        parts[1:] = [" " + p for p in parts[1:]]
         return parts
 
     def encode(self, text: str) -> list[int]:

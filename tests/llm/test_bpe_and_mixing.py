@@ -23,6 +23,16 @@ def test_equal_to_the_public_library(public):
         assert t.count(s) == len(public(s))
 
 
+def test_blanks_beside_other_white_space():
+    t, rng = bpe.Tokenizer(bpe.vocabulary_path()), random.Random(11)
+    assert t.encode("tail \xa0 \xa0") == [13199, 11504]
+    texts = ["tail \xa0 \xa0", "a \xa0 \xa0 \xa0b", "a\t b", "a \tb c", " a", "a ", " ", "\t ", "\xa0 a b"]
+    texts += ["".join(rng.choice(["a", "b1", "!", " ", "\xa0", "\t", "\n", "\u3000"]) for _ in range(rng.randint(1, 14))) for _ in range(3000)]
+    for s in texts:
+        whole = [i for w in t.known.find(s) for i in t.known.bpe.encode(w.encode())]  # the pattern over the whole text
+        assert t.encode(s) == whole and t.count(s) == len(whole), ascii(s)
+
+
 def test_merges_against_the_plain_loop():
     t, rng = bpe.Tokenizer(bpe.vocabulary_path()), random.Random(5)
     ranks, tree = t.known.bpe.ranks, t.known.bpe
