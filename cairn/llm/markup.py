@@ -260,7 +260,7 @@ class Page:
         if text.count("__") > 1:
             text = re.sub(r"__(?<!\w__)(?=[^\s_])([^_\n]*[^\S\n][^_\n]*)(?<=[^\s_])__(?!\w)", lambda m: self.mark(m.group(1)), text)
         if text.count("_") > 1:
-            text = re.sub(r"_(?<!\w_)(?=[^\s_])([^_\n]{1,80}?)(?<=[^\s_])_(?!\w)", lambda m: self.mark(m.group(1)), text)
+            text = re.sub(r"_(?<!\w_)(?=[^\s_])((?:[^_\n]|\n(?![ \t]*\n|[ \t]*[*+-][ \t]))+?)(?<=[^\s_])_(?!\w)", lambda m: self.mark(m.group(1)), text)
         if text.count("~~") < 2:
             return text
         return re.sub(r"~~(?=[^\s~])([^~\n]+?)(?<=[^\s~])~~", lambda m: self.mark(m.group(1)), text)

@@ -71,6 +71,16 @@ def test_titles(text, clean):
     assert m.render("Step #7: in C++ (x < 4)", True)[1] == 0
 
 
+def test_long_emphasis_between_underscores():
+    long = "Nothing in the right sweep depends on the sheet, so it is safe to leave it. " * 4 + "End."
+    assert m.render(f"Note: _{long}_ Next.") == (f"Note: {long} Next.", 1)
+    assert m.render("Note: _over two\nlines_ here.")[1] == 1
+    for plain in (f"Note: _{long}\n\n{long}_ Next.", f"a _{long}\n- {long}_ b", f"a_{long}_b", f"the _{long} _ b"):
+        assert m.render(plain)[1] == 0, plain
+    m.render("_a " * 100_000)
+    m.render("_" + "a " * 300_000)
+
+
 def test_rendering_again_finds_nothing():
     for text, clean in CASES:
         if "\\*" not in text:
