@@ -258,6 +258,16 @@ def sections_from_markdown(spark, sf_dir):
     return out.select("name", F.array_join("heading_path", " > ").alias("path"), "heading_level", "section_text", "source", "code", "license")
 
 
+def sections_from_doc_files(spark, sf_dir):
+    """Every documentation section as a file of its own, under its headings, parsed back to sections."""
+    docs = table(spark, sf_dir, "doc_sections")
+    titles = F.transform(F.coalesce("heading_path", F.array().cast("array<string>")), lambda t, i: F.concat(F.repeat(F.lit("#"), F.least(i + 1, F.lit(6))), F.lit(" "), F.coalesce(t, F.lit(""))))
+    file = F.array_join(F.concat(titles, F.array(F.coalesce("section_text", F.lit("")))), "\n")
+    files = docs.select(F.lit("doc").alias("prefix"), F.concat(F.lit("d/"), F.col("rec_id").cast("string"), F.lit(".md")).alias("path"), file.alias("content"))
+    out = markdown.parse_markdown(files)
+    return out.select("name", F.array_join("heading_path", " > ").alias("path"), "heading_level", "section_text", "source", "code", "license")
+
+
 def code_segments(spark, sf_dir):
     """Every code record as a file of its own: segments, references and scores; code that doesn't parse is counted as an error."""
     code = table(spark, sf_dir, "code_records").where("code is not null")
@@ -303,7 +313,7 @@ QUERIES = {
     for f in (
         field_render, recipe_gate_counts, recipe_rows, clean_markdown, chunk_split_premerge, chunk_split, build_chunks, chunk_ids_hashes, incremental_pending, upsert_result, store_count,
         stream_ingest, jsonl_roundtrip, prefix_exclude, prefix_keep, prefix_counts, public_names, longest_prefix_refs, reference_sets, license_allow, license_lines, repo_prefilter, candidate_rank,
-        example_dirs, best_example_dir, invalidate, pending_explanations, dedupe_first, corpus_summary, signature_parameters, property_defaults, kwargs_expand, doc_prose, sections_from_markdown,
+        example_dirs, best_example_dir, invalidate, pending_explanations, dedupe_first, corpus_summary, signature_parameters, property_defaults, kwargs_expand, doc_prose, sections_from_markdown, sections_from_doc_files,
         code_segments, code_scores, knn_hits, knn_batch, cosine_pairs,
     )
 }

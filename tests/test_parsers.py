@@ -200,3 +200,35 @@ def test_prefix_minimal_and_refs(spark):
     assert [r.tag for r in policy.resolve_ref("1.0", tags).collect()] == ["v1.0"]
     assert [r.tag for r in policy.resolve_ref("2.0", tags).collect()] == ["2.0"]
     assert policy.resolve_ref("9", tags).count() == 0
+
+
+def test_sections_of_doc_files(spark, tmp_path):
+    from cairn.plans import catalog
+
+    texts = ["plain", None, " \n", "a\r\n```py\nx = 1\r\n# no heading\n```\nb\r## Inner ##\ninside", "~~~\n```\ny\n~~~\n\n# Next\n```\nopen\n# still code", "<!-- c\n# gone\n-->\nrest"]
+    paths = [["A"], ["A", "B"], [], ["A", "B", "C"], None, ["A", "B"]]
+    rows = list(enumerate(zip(paths, texts)))
+    spark.createDataFrame([(i, p, t) for i, (p, t) in rows], "rec_id bigint, heading_path array<string>, section_text string").write.parquet(f"{tmp_path}/doc_sections.parquet")
+    want = []
+    for i, (p, t) in rows:  # line by line
+        text = "\n".join(["#" * (k + 1) + " " + h for k, h in enumerate(p or [])] + [t or ""]).replace("<!-- c\n# gone\n-->", "\n\n")
+        lines, open_titles, fence, found = text.splitlines(), [], None, []
+        for k, line in enumerate(lines, 1):
+            head = len(line) - len(line.lstrip("#"))
+            if fence is None and head and line[head : head + 1] == " ":
+                open_titles = [x for x in open_titles if x[0] < head] + [(head, line[head:].strip())]
+                found.append([list(open_titles), k, k, [], []])
+                continue
+            mark = line[:3] if line[:3] in ("```", "~~~") else None
+            if found:
+                found[-1][2] = k
+                found[-1][3].append(line)
+                if mark is None and fence:
+                    found[-1][4].append(line)
+            fence = mark if mark and fence is None else None if mark == fence else fence
+        for titles, first, end, body, code in found:
+            if "\n".join(body).strip():
+                path = " > ".join(x for _, x in titles)
+                want.append((f"doc/{i}::{path}", path, titles[-1][0], "\n".join(body).strip(), f"d/{i}.md#L{first}-L{end}", "\n".join(code) or None, None))
+    got = [tuple(r) for r in catalog.sections_from_doc_files(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str) and len(want) >= 5
