@@ -190,9 +190,8 @@ def _checked(small: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(small) if small.count() <= most else small
 
 
-def candidate_pairs(sets: DataFrame, t: float, slot: int = SLOT) -> DataFrame:
-    """(a, b): pairs of keys that share a tile and pass the bounds by size and position."""
-    rows = materialise(prefix_rows(sets, t), "prefixes")
+def tiles(rows: DataFrame, t: float, slot: int = SLOT) -> DataFrame:
+    """(token, band, slot, key, n, k): prefix rows in the tiles where they are found (k is odd) or look for others; k // 2 is the place."""
     members = rows.groupBy("token").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > slot)
     hot = _checked(materialise(members.select("token", F.ceil(F.col("members") / slot).cast("int").alias("slots")), "hot"))
     # a hot tile is cut by band and into slots: a row is looked for in its own slot, and looks in all slots of its own and of the next smaller band.
@@ -206,14 +205,21 @@ def candidate_pairs(sets: DataFrame, t: float, slot: int = SLOT) -> DataFrame:
     tiled = placed.select("token", "key", "n", "k", F.explode(F.when(F.col("slots").isNull(), cold).otherwise(F.concat(everywhere, below))).alias("at"))
     # of a pair the smaller one is found by a shorter prefix
     short = F.col("n") - F.ceil(F.col("n") * F.lit(2 * t / (1 + t)) - F.lit(1e-9)) + 1
-    tiled = tiled.select("token", "key", "n", "k", "at.band", "at.slot", (F.col("at.there") & (F.col("k") < short)).alias("there"))
-    # one shuffle serves both sides; two tasks may have emitted one class
+    tiled = tiled.select("token", "key", "n", "at.band", "at.slot", (F.col("k") * 2 + (F.col("at.there") & (F.col("k") < short)).cast("int")).alias("k"))
+    return tiled
+
+
+def candidate_pairs(sets: DataFrame, t: float, slot: int = SLOT) -> DataFrame:
+    """(a, b): pairs of keys that share a tile and pass the bounds by size and position."""
+    tiled = tiles(materialise(prefix_rows(sets, t), "prefixes"), t, slot)
+    # one shuffle serves both sides, so they have the same columns (k: the place, and in the lowest bit whether the row is found here)
+    # and what holds for one side alone is asked in the join; two tasks may have emitted one class
     tiled = tiled.repartition("token", "band", "slot")
-    left = tiled.where("there").select("token", "band", "slot", F.col("key").alias("a"), F.col("n").alias("na"), F.col("k").alias("ka"))
+    left = tiled.select("token", "band", "slot", F.col("key").alias("a"), F.col("n").alias("na"), F.col("k").alias("ka"))
     right = tiled.select("token", "band", "slot", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("k").alias("kb"))
     first = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
     # what can still be shared if this is the first shingle that they share
-    rest = F.least(F.col("na") - F.col("ka"), F.col("nb") - F.col("kb"))
+    rest = F.when(F.col("ka") % 2 == 1, F.least(F.col("na") - F.shiftright("ka", 1), F.col("nb") - F.shiftright("kb", 1))).otherwise(-1)
     met = left.join(right, ["token", "band", "slot"]).where(first & (F.col("na") >= F.col("nb") * F.lit(t) - F.lit(1e-9)) & (rest >= _need(F.col("na"), F.col("nb"), t)))
     return met.select("a", "b").distinct()
 
