@@ -79,10 +79,23 @@ _SHINGLES = r"""
   p as (select rec_id_a, rec_id_b from o join n x on x.rec_id = rec_id_a join n y on y.rec_id = rec_id_b where o >= 0.7 * (x.n + y.n - o) - 1e-9)
 """
 
+#: Classes are codes with equal sets of shingles; links count the other classes above the threshold.
+_CLASSES = r"""
+  with w as (select distinct rec_id, regexp_extract_all(code, '[A-Za-z0-9_]+') as w from code_records),
+  s as (select distinct rec_id, unnest([w[i:i+3] for i in range(1, len(w) - 2)]) as g from w where len(w) >= 30),
+  k as (select rec_id, md5(string_agg(array_to_string(g, ' '), '|' order by g)) as k, count(*) as n from s group by rec_id),
+  c as (select rec_id, n, min(rec_id) over (partition by k) as class_id, count(*) over (partition by k) as copies from k),
+  r as (select s.rec_id, s.g, c.n from s join c using (rec_id) where c.rec_id = c.class_id),
+  o as (select a.rec_id as a, b.rec_id as b, any_value(a.n) as na, any_value(b.n) as nb, count(*) as o from r a join r b on a.g = b.g and a.rec_id <> b.rec_id group by all),
+  l as (select a, count(*) as links from o where o >= 0.7 * (na + nb - o) - 1e-9 group by a)
+  select c.rec_id, c.class_id, c.copies, coalesce(l.links, 0) as links from c left join l on l.a = c.class_id
+"""
+
 QUERIES = {"p2_found": p2_found, "p2_classes": p2_classes, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p4_clean": p4_clean, "p5_found": p5_found, "p5_reasons": p5_reasons, "p6_ids": p6_ids, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_shares": p8_shares}
 
 SQL = {
     "p2_found": _SHINGLES + "select rec_id_a, rec_id_b from p",
+    "p2_classes": _CLASSES,
     "p3_found": """select 'chunks' as tab, chunk_seq as item_id, 'text' as field from chunks where length(text) > 2000
       union all select 'chunks', chunk_seq, 'return_text' from chunks where length(return_text) > 2000
       union all select 'doc_sections', rec_id, 'section_text' from doc_sections where length(section_text) > 2000

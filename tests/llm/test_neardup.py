@@ -80,3 +80,33 @@ def test_bit_bound_never_loses(spark):
         x, y = nd.bitmap(a, 64).view(np.uint64), nd.bitmap(b, 64).view(np.uint64)
         lacking = int(np.bitwise_count(x & ~y).sum())
         assert len(np.intersect1d(a, b)) <= len(a) - lacking
+
+
+def test_a_shingle_in_every_class_is_no_single_task(spark):
+    rng = random.Random(3)
+    head = [f"h{i}" for i in range(12)]
+    rows = [(i, " ".join([*head, *(f"c{rng.randrange(10**6)}" for _ in range(20))])) for i in range(200)]
+    rows += [(1000 + i, " ".join([*head, *head, "x", f"z{i}", *head])) for i in range(100)]  # hardly anything else: it is in their prefixes
+    sets = nd.shingle_sets(frame(spark, rows))
+    prefixes = nd.prefix_rows(sets, 0.7)
+    tiled = nd.tiles(prefixes, 0.7, slot=16).collect()
+    members, found = {}, {}
+    for r in prefixes.collect():
+        members.setdefault(r.token, set()).add(r.key)
+    for r in tiled:
+        if r.k % 2:
+            found.setdefault((r.token, r.band, r.slot), set()).add(r.key)
+    assert max(map(len, members.values())) >= 100 and max(map(len, found.values())) < 40
+    got = nd.near_duplicate_pairs(frame(spark, rows), slot=16).collect()
+    assert sorted((r.rec_id_a, r.rec_id_b) for r in got) == brute(rows)
+
+
+def test_position_and_sketch_do_not_decide(spark, monkeypatch):
+    rows = corpus(11, 8, 6)
+    want = brute(rows)
+    for width, local in ((2, 1), (1 << 10, 1), (1 << 20, 1 << 30)):
+        monkeypatch.setattr(nd, "LOCAL", local)
+        monkeypatch.setattr(nd, "WIDTH", width)
+        monkeypatch.setattr(nd.frequent_cells, "__defaults__", (width,))
+        got = nd.near_duplicate_pairs(frame(spark, rows)).collect()
+        assert sorted((r.rec_id_a, r.rec_id_b) for r in got) == want
