@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import html
 import re
+import sys
+from collections import Counter
 from collections.abc import Iterator
 from html.entities import html5
 
@@ -51,8 +53,6 @@ IMPLIED = {
 }
 #: Start tags that often follow text at once, as what they end has no end tag.
 _LOOSE = frozenset((*IMPLIED, "p"))
-#: Open elements at most; deeper ones are laid out beside each other, their text stays.
-DEPTH = 120
 _ENDS_P = frozenset("address article aside blockquote center details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 
 _OPEN, _CLOSE = "\ufdd0", "\ufdd1"
@@ -60,6 +60,7 @@ _ATOM = re.compile(_OPEN + r"(\d+)" + _CLOSE)
 _NAME = r"[A-Za-z][A-Za-z0-9]*"
 _ATTRS = r"(?:\s+[A-Za-z_:@][\w:.@-]*(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'<>=`]+))?)*"
 _TAG = re.compile(rf"<({_NAME})({_ATTRS})\s*(/?)>|</({_NAME})\s*>")
+_END_TAG = re.compile(rf"</({_NAME})")
 _ATTR = re.compile(r"([A-Za-z_:@][\w:.@-]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'<>=`]+))?")
 #: What a line that means something begins with, unless the next one does.
 _SPECIAL = frozenset("#>[-*_")
@@ -84,7 +85,11 @@ _ASIDE = re.compile(
 _LATEX_BARE = frozenset("item hline newpage clearpage noindent centering maketitle tableofcontents linebreak newline par smallskip medskip bigskip quad qquad hfill vfill toprule midrule bottomrule LaTeX TeX ldots dots bf it tt em sc rm textbackslash".split())
 _LATEX_HEAD = {"part": 1, "chapter": 1, "section": 2, "subsection": 3, "subsubsection": 4, "paragraph": 5, "subparagraph": 6}
 _LATEX_GONE = frozenset("label index vspace hspace bibliographystyle pagestyle documentclass usepackage input include nocite setcounter addtocounter".split())
-_LATEX = re.compile(r"(?<![\w:\\])~?\\([A-Za-z]+)(\*?)((?:\[[^\]\n]*\])*)((?:\{(?:[^{}\n]|\{[^{}\n]*\})*\})+)")
+_LATEX_EDGE = re.compile(r"(?<![\w:\\])~?\\([A-Za-z]+)(\*?)((?:\[[^\]\n]*\])*)\{|[{}\n]")
+_TEMPLATE_EDGE = re.compile(r"\{\{|\}\}")
+_TEMPLATE = re.compile(r"([A-Za-z#:][^{}|\n]*)((?:\|[^{}]*)?)")
+_LINK_EDGE = re.compile(r"[\[\]\n]")
+_LINK_TARGET = re.compile(r"\(\s*<?[^()\s]*(?:\([^()\s]*\)[^()\s]*)*>?(?:\s+(?:\"[^\"\n]*\"|'[^'\n]*'))?\s*\)")
 _LATEX_WORD = re.compile(r"(?<![\w:\\])\\([A-Za-z]+)(?![A-Za-z\\{\[])")
 _ENV = re.compile(r"\\(begin|end)\{([A-Za-z]+)\*?\}(?:\[[^\]\n]*\])?(?:\{[^}\n]*\})?")
 
@@ -147,11 +152,8 @@ class Page:
     def _wiki(self, text: str) -> str:
         if "{|" in text:
             text = re.sub(r"^[ \t]*\{\|([\s\S]*?)^[ \t]*\|\}", self._wiki_table, text, flags=re.M)
-        for _ in range(8 if "{{" in text else 0):  # templates may hold templates
-            new = re.sub(r"\{\{([A-Za-z#:][^{}|\n]*)((?:\|[^{}]*)?)\}\}", self._template, text)
-            if new == text:
-                break
-            text = new
+        if "{{" in text:
+            text = self._templates(text)
         if "[[" in text:
             text = re.sub(r"\[\[(?:(?:File|Image|Datei|Fichier):[^\[\]\n]*?\|)?([A-Za-z:/#][^\[\]|\n]*)((?:\|[^\[\]|\n]*)*)\]\]", lambda m: self.mark((m.group(2).rsplit("|", 1)[1] if m.group(2) else m.group(1)).strip()), text)
         if "[http" in text:
@@ -164,6 +166,24 @@ class Page:
             return text
         return re.sub(r"^[ \t]*__(?:TOC|NOTOC|FORCETOC|NOEDITSECTION)__[ \t]*$", lambda m: self.mark(""), text, flags=re.M)
 
+    def _templates(self, text: str) -> str:
+        """Templates, which may hold templates: the innermost first, in one pass with a stack of what is open."""
+        stack: list[list[str]] = [[]]
+        at = 0
+        for m in _TEMPLATE_EDGE.finditer(text):
+            stack[-1].append(text[at : m.start()])
+            at = m.end()
+            if m.group() == "{{":
+                stack.append([])
+            elif len(stack) == 1:
+                stack[0].append("}}")
+            else:
+                inner = "".join(stack.pop())
+                whole = _TEMPLATE.fullmatch(inner)
+                stack[-1].append(self._template(whole) if whole else "{{" + inner + "}}")
+        stack[-1].append(text[at:])
+        return "{{".join(map("".join, stack))
+
     def _template(self, m: re.Match) -> str:
         args = [a.strip() for a in m.group(2).split("|")[1:]]
         return self.mark(", ".join(a for a in args if a and "=" not in a))
@@ -200,17 +220,54 @@ class Page:
         lists = {"itemize": "ul", "enumerate": "ol", "description": "ul"}
         text = _ENV.sub(lambda m: self.mark(f"<{'/' * (m.group(1) == 'end')}{lists[m.group(2)]}>" if m.group(2) in lists else ""), text)
         text = re.sub(r"\\item(?![A-Za-z])[ \t]*(?:\[([^\]\n]*)\])?[ \t]*", lambda m: self.mark("<li>" + (m.group(1) + " " if m.group(1) else "")), text)
-        for _ in range(4):
-            new = _LATEX.sub(self._command, text)
-            if new == text:
-                break
-            text = new
+        text = self._commands(text)
         return _LATEX_WORD.sub(lambda m: self.mark({"ldots": "…", "dots": "…", "LaTeX": "LaTeX", "TeX": "TeX", "quad": " ", "qquad": " ", "newline": "\n", "linebreak": "\n", "par": "\n\n"}.get(m.group(1), "")) if m.group(1) in _LATEX_BARE else m.group(0), text)
 
-    def _command(self, m: re.Match) -> str:
+    def _commands(self, text: str) -> str:
+        """Commands with arguments, which may hold commands: one pass with a stack of open braces. An argument ends in its line."""
+        # an open brace: (what stood before it, the command that it belongs to or None, the arguments before it, what it holds so far)
+        stack: list[tuple[str, re.Match | None, list[str], list[str]]] = [("", None, [], [])]
+        at = 0
+
+        def flat() -> None:
+            """What is open isn't closed: it stays as it is."""
+            while len(stack) > 1:
+                before, _, args, held = stack.pop()
+                stack[-1][3].append(before + "".join("{" + a + "}" for a in args) + "{" + "".join(held))
+
+        for m in _LATEX_EDGE.finditer(text):
+            if m.start() < at:
+                continue
+            stack[-1][3].append(text[at : m.start()])
+            at = m.end()
+            edge = m.group()
+            if edge == "\n":
+                flat()
+                stack[0][3].append(edge)
+            elif edge == "}":
+                if len(stack) == 1:
+                    stack[0][3].append(edge)
+                    continue
+                before, command, args, held = stack.pop()
+                inner = "".join(held)
+                if command is None:
+                    stack[-1][3].append("{" + inner + "}")
+                elif text.startswith("{", at):
+                    stack.append((before, command, [*args, inner], []))
+                    at += 1
+                else:
+                    stack[-1][3].append(self._command(command, [*args, inner]))
+            elif edge == "{":
+                stack.append(("", None, [], []))
+            else:
+                stack.append((edge[:-1], m, [], []))
+        stack[-1][3].append(text[at:])
+        flat()
+        return "".join(stack[0][3])
+
+    def _command(self, m: re.Match, args: list[str]) -> str:
         self.found += 1
         name, option = m.group(1), m.group(3)[1:-1].replace("~", " ")
-        args = re.findall(r"\{((?:[^{}\n]|\{[^{}\n]*\})*)\}", m.group(4))
         lead = " " if m.group(0).startswith("~") else ""
         if name in _LATEX_HEAD:
             return f"<h{_LATEX_HEAD[name]}>{args[0]}</h{_LATEX_HEAD[name]}>" + "".join(args[1:])
@@ -241,8 +298,8 @@ class Page:
         text = self._lines(text)
         if "![" in text:
             text = re.sub(r"!\[([^\]\n]*)\]\(\s*<?[^()\s]*(?:\([^()\s]*\)[^()\s]*)*>?(?:\s+(?:\"[^\"\n]*\"|'[^'\n]*'))?\s*\)", lambda m: self.mark(m.group(1)), text)
-        for _ in range(2 if "](" in text else 0):
-            text = re.sub(r"\[(?<![\w\]\\]\[)((?:[^\[\]\n]|\[[^\[\]\n]*\])*)\]\(\s*<?[^()\s]*(?:\([^()\s]*\)[^()\s]*)*>?(?:\s+(?:\"[^\"\n]*\"|'[^'\n]*'))?\s*\)", lambda m: self.mark(m.group(1)), text)
+        if "](" in text:
+            text = self._links(text)
         if "][" in text:
             text = re.sub(r"(?<![\w\]\\])!?\[([^\[\]\n]+)\]\[([^\[\]\n^]*)\](?!\()", lambda m: self.mark(m.group(1)), text)
         if "[^" in text:
@@ -265,6 +322,41 @@ class Page:
             return text
         return re.sub(r"~~(?=[^\s~])([^~\n]+?)(?<=[^\s~])~~", lambda m: self.mark(m.group(1)), text)
 
+    def _links(self, text: str) -> str:
+        """Links, whose texts may hold brackets and links: one pass with a stack of open brackets. A text ends in its line."""
+        stack: list[tuple[bool, list[str]]] = [(False, [])]
+        at = 0
+
+        def flat() -> None:
+            while len(stack) > 1:
+                held = stack.pop()[1]
+                stack[-1][1].append("[" + "".join(held))
+
+        for m in _LINK_EDGE.finditer(text):
+            if m.start() < at:
+                continue  # in a target
+            stack[-1][1].append(text[at : m.start()])
+            at = m.end()
+            edge = m.group()
+            if edge == "\n":
+                flat()
+                stack[0][1].append(edge)
+            elif edge == "[":
+                before = text[m.start() - 1] if m.start() else ""
+                stack.append((not (before and (before.isalnum() or before in "_]\\")), []))
+            elif len(stack) == 1:
+                stack[0][1].append(edge)
+            else:
+                able, held = stack.pop()
+                inner = "".join(held)
+                target = _LINK_TARGET.match(text, at) if able else None
+                if target:
+                    at = target.end()
+                stack[-1][1].append(self.mark(inner) if target else "[" + inner + "]")
+        stack[-1][1].append(text[at:])
+        flat()
+        return "".join(stack[0][1])
+
     def _lines(self, text: str) -> str:
         lines, out, i = text.split("\n"), [], 0
         rule = re.compile(r"^[ \t]*\|?[ \t]*:?-{2,}:?[ \t]*(?:\|[ \t]*:?-+:?[ \t]*)*\|?[ \t]*$")
@@ -337,7 +429,14 @@ class Page:
     def _tree(self, text: str) -> list:
         root: list = ["#root", {}, []]
         stack = [root]
-        at = 0
+        opened: Counter = Counter()
+        at = deepest = 0
+        last: dict[str, int] | None = None  # where the last end tag of a name is
+
+        def close_from(k: int) -> None:
+            for node in stack[k:]:
+                opened[node[0]] -= 1
+            del stack[k:]
 
         def put(s: str) -> None:
             if s:
@@ -351,15 +450,18 @@ class Page:
             if name not in TAGS or any(not v and a not in BARE for a, v in attrs.items()):
                 continue
             close = bool(m.group(4))
-            if not close and not attrs and name not in VOID and name not in _LOOSE and m.start() and (text[m.start() - 1].isalnum() or text[m.start() - 1] == "_") and f"</{name}" not in text[m.end() :].lower():
-                continue  # a type with a parameter
+            if not close and not attrs and name not in VOID and name not in _LOOSE and m.start() and (text[m.start() - 1].isalnum() or text[m.start() - 1] == "_"):
+                if last is None:
+                    last = {e.group(1).lower(): e.start() for e in _END_TAG.finditer(text)}
+                if last.get(name, -1) < m.end():
+                    continue  # a type with a parameter
             put(text[at : m.start()])
             at = m.end()
             self.found += 1
             if close:
-                for k in range(len(stack) - 1, 0, -1):
+                for k in range(len(stack) - 1, 0, -1) if opened[name] else ():
                     if stack[k][0] == name:
-                        del stack[k:]
+                        close_from(k)
                         break
                     if name in INLINE and stack[k][0] in BLOCKS:
                         break
@@ -370,13 +472,13 @@ class Page:
                     if stack[k][0] in holders and stack[k][0] not in ends:
                         break
                     if stack[k][0] in ends:
-                        del stack[k:]
+                        close_from(k)
                         if name not in ("tr", "tbody", "tfoot", "thead"):
                             break
-            elif name in _ENDS_P and any(x[0] == "p" for x in stack):
+            elif name in _ENDS_P and opened["p"]:
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k][0] == "p":
-                        del stack[k:]
+                        close_from(k)
                         break
                     if stack[k][0] in BLOCKS:
                         break
@@ -384,11 +486,16 @@ class Page:
                 row: list = ["tr", {}, []]  # an implied row
                 stack[-1][2].append(row)
                 stack.append(row)
+                opened["tr"] += 1
             node: list = [name, attrs, []]
             stack[-1][2].append(node)
-            if name not in VOID and not m.group(3) and len(stack) < DEPTH:
+            if name not in VOID and not m.group(3):
                 stack.append(node)
+                opened[name] += 1
+                deepest = max(deepest, len(stack))
         put(text[at:])
+        if (frames := 4 * deepest + 1000) > sys.getrecursionlimit():
+            sys.setrecursionlimit(frames)  # the layout walks the tree by plain calls, which take no room on the machine's stack
         return root
 
     # ------------------------------------------------ layout
@@ -508,17 +615,40 @@ def _ticks(code: str) -> str:
     return f"{fence} {code} {fence}" if "`" in code else f"`{code}`" if code else ""
 
 
+_MATH_TAG = re.compile(r"<(/?)(m[a-z]+)\b[^>]*?(/?)>")
+_MATH_PAIRS = {"msub": "{}_{{{}}}", "msup": "{}^{{{}}}", "mfrac": "\\frac{{{}}}{{{}}}"}
+_MATH_LEAVES = frozenset(("mi", "mn", "mo", *_MATH_PAIRS))
+
+
 def _formula(body: str) -> str:
     """MathML or TeX in a math element as one line of TeX-like text."""
-    for _ in range(6):
-        new = re.sub(r"<msub>\s*<m[a-z]+>([^<]*)</m[a-z]+>\s*<m[a-z]+>([^<]*)</m[a-z]+>\s*</msub>", r"<mi>\1_{\2}</mi>", body)
-        new = re.sub(r"<msup>\s*<m[a-z]+>([^<]*)</m[a-z]+>\s*<m[a-z]+>([^<]*)</m[a-z]+>\s*</msup>", r"<mi>\1^{\2}</mi>", new)
-        new = re.sub(r"<mfrac>\s*<m[a-z]+>([^<]*)</m[a-z]+>\s*<m[a-z]+>([^<]*)</m[a-z]+>\s*</mfrac>", r"<mi>\\frac{\1}{\2}</mi>", new)
-        new = re.sub(r"<mrow>((?:\s*<m[ino]>[^<]*</m[ino]>\s*)*)</mrow>", lambda m: "<mi>" + re.sub(r"<[^>]*>|\s+", "", m.group(1)) + "</mi>", new)
-        if new == body:
-            break
-        body = new
-    return html.unescape(" ".join(re.sub(r"</?m[a-z]+\b[^>]*>", " ", body).split()))
+    stack: list[tuple[str, list[tuple[str, str]]]] = [("", [])]
+    at = 0
+
+    def close() -> None:
+        name, kids = stack.pop()
+        texts = [x for _, x in kids]
+        if name in _MATH_PAIRS and len(kids) == 2 and all(k for k, _ in kids):
+            stack[-1][1].append((name, _MATH_PAIRS[name].format(*texts)))
+        elif name == "mrow" and all(k in _MATH_LEAVES or k == "mrow" for k, _ in kids):
+            stack[-1][1].append(("mrow", "".join(texts)))
+        else:
+            stack[-1][1].append((name, " ".join(texts)))
+
+    for m in _MATH_TAG.finditer(body):
+        if (text := " ".join(body[at : m.start()].split())):
+            stack[-1][1].append(("", text))
+        at = m.end()
+        if m.group(1):
+            if len(stack) > 1 and stack[-1][0] == m.group(2):
+                close()
+        elif not m.group(3):
+            stack.append((m.group(2), []))
+    if (text := " ".join(body[at:].split())):
+        stack[-1][1].append(("", text))
+    while len(stack) > 1:
+        close()
+    return html.unescape(" ".join(x for _, x in stack[0][1] if x))
 
 
 def render(text: str, title: bool = False) -> tuple[str, int]:

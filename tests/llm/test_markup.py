@@ -93,6 +93,37 @@ def test_broken_and_long_input_ends():
     assert len(m.render("word **b** " * 20000)[0]) == len("word b " * 20000) - 1
 
 
+def test_no_cap_on_nesting():
+    assert m.render("{{a|" * 50 + "x" + "}}" * 50) == ("x", 50)
+    assert m.render("\\emph{a " * 50 + "x" + "}" * 50) == ("a " * 50 + "x", 50)
+    assert m.render("[" * 50 + "a" + "](u)" * 50) == ("a", 50)
+    assert m.render("<div>" * 500 + "x" + "</div>" * 500) == ("x", 1000)
+    assert m.render("<ul><li>" * 150 + "x")[0].split() == ["-"] * 150 + ["x"]
+    deep = "<mi>r</mi>"
+    for _ in range(50):
+        deep = f"<msub><mrow>{deep}</mrow><mn>1</mn></msub>"
+    assert m.render(f"<math>{deep}</math>")[0] == "$r" + "_{1}" * 50 + "$"
+    long = "nothing in the sweep depends on it " * 300
+    for mark in ("_", "*", "**"):
+        assert m.render(f"Note: {mark}{long.strip()}{mark} Next.") == (f"Note: {long.strip()} Next.", 1)
+    # what isn't closed in its line, or at all, stays
+    for plain in ("{{a|{{b", "a}} {{", "\\emph{a\nb}", "[a\n](u)", "x] [y"):
+        assert m.render(plain)[1] == 0, plain
+
+
+def test_time_is_linear_in_tags():
+    import time
+
+    def took(text):
+        began = time.process_time()
+        m.render(text)
+        return time.process_time() - began
+
+    for unit in ("a<b> x ", "<div>", "<p>x", "{{a|", "\\emph{", "[a](u) [", "<b>x</i>", "</p><div>"):
+        small, large = min(took(unit * 4000) for _ in range(3)), took(unit * 16000)
+        assert large < 12 * small + 0.3, (unit, small, large)
+
+
 def test_operator(spark):
     rows = [(1, "**b**", ["a", None, "x ##"], "k"), (2, None, None, "k"), (3, " ", [], "k"), (4, "plain", ["C++"], "k"), (4, "plain", ["C++"], "k")]
     df = spark.createDataFrame(rows, "rec_id bigint, section_text string, heading_path array<string>, found string")
