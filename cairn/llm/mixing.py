@@ -6,9 +6,12 @@ to their shares, again until nothing is above its cap. A source of e epochs give
 floor(e) times and a seeded part of them once more: documents in the order of a seeded hash, up to the
 fraction's tokens (the document at the edge counts if at least half of it is within).
 
-Scale: the token counts are written once and used twice. The prefix sums are taken over ``BUCKETS``
-hash buckets of a source, then within a bucket, so a source with a third of all rows is still thousands
-of small sorts. Only one row per listed source comes to the driver.
+The size of the mix is a parameter. By default it is the largest at which no cap keeps a source that has
+tokens from its exact share; a larger mix is as near to the shares as the caps permit.
+
+Scale: the token counts are written once and used twice. The prefix sums are taken over hash buckets of a
+source, then within a bucket; there are as many buckets as keep one near ``BUCKET`` documents, so a source
+with a third of all rows is many small sorts. Only one row per listed source comes to the driver.
 """
 
 from __future__ import annotations
@@ -23,8 +26,9 @@ from cairn.llm import bpe
 from cairn.runtime import materialise, spread
 
 SEED = 20_240_517
-BUCKETS = 4096
-#: The most sources that the target table may list: what the driver holds.
+#: Documents that a bucket holds about: what one sort sees.
+BUCKET = 50_000
+#: The most sources that the target table may list: what the driver holds. More are an error.
 MAX_SOURCES = 100_000
 
 
@@ -38,7 +42,7 @@ def water_fill(sources: dict[str, tuple[float, float, float]], total: float) ->
     left = total
     while active:
         weight = math.fsum(sources[s][0] for s in active)
-        clamped = {s for s in active if left * sources[s][0] / weight >= sources[s][1] * sources[s][2]}
+        clamped = {s for s in active if left * sources[s][0] / weight >= sources[s][1] * sources[s][2] * (1 - 1e-12)}
         if not clamped:
             for s in active:
                 epochs[s] = left * sources[s][0] / weight / sources[s][1]
@@ -50,19 +54,33 @@ def water_fill(sources: dict[str, tuple[float, float, float]], total: float) ->
     return epochs
 
 
+def exact_total(sources: dict[str, tuple[float, float, float]]) -> float:
+    """The most tokens of a mix in which each source that has tokens keeps its share of them within its cap."""
+    able = [(share, tokens * cap) for share, tokens, cap in sources.values() if share > 0 and tokens > 0 and cap > 0]
+    weight = math.fsum(share for share, _ in able)
+    return min((most * weight / share for share, most in able), default=0.0)
+
+
+def listed_sources(targets: DataFrame) -> DataFrame:
+    """The distinct non-null sources of the target table; more than MAX_SOURCES are an error."""
+    sources = targets.where("source is not null").select("source").distinct()
+    if sources.limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
+        raise ValueError(f"more than {MAX_SOURCES} sources are listed")
+    return sources
+
+
 def plan_mix(sized: DataFrame, targets: DataFrame, total_tokens: float | None = None) -> DataFrame:
     """(source, target_share, max_repeats, available_tokens, epochs): one row per listed source.
 
-    total_tokens is the size of the mix; without it, all tokens that the listed sources hold. Null
-    shares count as 0, null caps as 1, shares are scaled to sum 1; a null source is none.
+    total_tokens is the size of the mix; without it, the largest with exact shares. Null shares count
+    as 0, null caps as 1, shares are scaled to sum 1; a null source is none.
     """
+    listed_sources(targets)
     available = sized.groupBy("source").agg(F.sum("n_tokens").alias("available_tokens"))
     wanted = targets.where("source is not null").groupBy("source").agg(F.max(F.coalesce(F.col("target_share").cast("double"), F.lit(0.0))).alias("target_share"), F.max(F.coalesce("max_repeats", F.lit(1))).cast("int").alias("max_repeats"))
-    rows = wanted.join(available, "source", "left").select("source", "target_share", "max_repeats", F.coalesce("available_tokens", F.lit(0)).cast("bigint").alias("available_tokens")).limit(MAX_SOURCES + 1).collect()
-    if len(rows) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources are listed")
-    total = sum(r.available_tokens for r in rows) if total_tokens is None else total_tokens
-    epochs = water_fill({r.source: (max(0.0, r.target_share), r.available_tokens, max(0, r.max_repeats)) for r in rows}, float(total))
+    rows = wanted.join(available, "source", "left").select("source", "target_share", "max_repeats", F.coalesce("available_tokens", F.lit(0)).cast("bigint").alias("available_tokens")).collect()
+    sources = {r.source: (max(0.0, r.target_share), r.available_tokens, max(0, r.max_repeats)) for r in rows}
+    epochs = water_fill(sources, float(exact_total(sources) if total_tokens is None else total_tokens))
     data = [(r.source, r.target_share, r.max_repeats, r.available_tokens, epochs[r.source]) for r in sorted(rows, key=lambda r: r.source)]
     return sized.sparkSession.createDataFrame(data, "source string, target_share double, max_repeats int, available_tokens bigint, epochs double")
 
@@ -74,17 +92,19 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None,
     never in it; null and empty texts have 0 tokens and follow their source. Rows repeated whole are
     separate documents. The report has target_share, the share the mix really has, and the plan.
     """
-    sized = spread(docs.select("doc_id", "source", "text")).join(F.broadcast(targets.select("source").distinct().limit(MAX_SOURCES)), "source", "left_semi")
+    sized = spread(docs.select("doc_id", "source", "text")).join(F.broadcast(listed_sources(targets)), "source", "left_semi")
     sized = materialise(bpe.count_tokens(sized, ["doc_id", "source"], path=path), "tokens")
     plan = plan_mix(sized, targets, total_tokens)
-    h = sized.withColumn("h", F.xxhash64(F.lit(seed), F.col("doc_id"))).withColumn("bucket", F.pmod("h", F.lit(BUCKETS)).cast("int"))
+    buckets = max(1, math.ceil(sized.count() / BUCKET))
+    # buckets are ranges of the hash, so the order of the documents is the same with any number of them
+    h = sized.withColumn("h", F.xxhash64(F.lit(seed), F.col("doc_id"))).withColumn("bucket", F.floor((F.col("h").cast("double") / 2.0**64 + 0.5) * buckets).cast("bigint"))
     sums = h.groupBy("source", "bucket").agg(F.sum("n_tokens").alias("t"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("source", "bucket", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("before"))
     goal = plan.select("source", F.floor("epochs").cast("int").alias("whole"), ((F.col("epochs") - F.floor("epochs")) * F.col("available_tokens")).alias("part"), "epochs")
     inside = Window.partitionBy("source", "bucket").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = h.join(starts, ["source", "bucket"]).withColumn("middle", F.col("before") + F.sum("n_tokens").over(inside) - F.col("n_tokens") / 2)
-    counted = placed.join(F.broadcast(goal), "source").select("doc_id", "source", "n_tokens", (F.col("whole") + F.when(F.col("middle") <= F.col("part"), 1).otherwise(0)).cast("int").alias("repeats"))
+    counted = placed.join(F.broadcast(goal), "source").select("doc_id", "source", "n_tokens", (F.col("whole") + F.when((F.col("part") > 0) & (F.col("middle") <= F.col("part")), 1).otherwise(0)).cast("int").alias("repeats"))
     mixed = materialise(counted.where("repeats > 0"), "mix")
     real = mixed.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("mixed_tokens"), F.max("repeats").alias("most_repeats"))
     report = plan.join(real, "source", "left").withColumn("mixed_tokens", F.coalesce("mixed_tokens", F.lit(0)))

@@ -85,9 +85,9 @@ def test_mix(spark):
     rows += [(900, "big", None), (901, "small", ""), (902, "big", rows[0][2])]
     docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, source string, text string, n_tokens string")
     targets = spark.createDataFrame([("big", 0.3, 2), ("small", 0.6, 3), ("absent", 0.1, 5)], "source string, target_share double, max_repeats int")
-    mixed, report = mixing.mix(docs, targets)
+    mixed, report = mixing.mix(docs, targets, total_tokens=10_000)
     a = sorted((r.doc_id, r.repeats) for r in mixed.collect())
-    assert a == sorted((r.doc_id, r.repeats) for r in mixing.mix(docs.repartition(7), targets)[0].collect())
+    assert a == sorted((r.doc_id, r.repeats) for r in mixing.mix(docs.repartition(7), targets, total_tokens=10_000)[0].collect())
     got = {r.source: r for r in report.collect()}
     assert set(got) == {"big", "small", "absent"} and abs(sum(r.actual_share for r in got.values()) - 1) < 1e-9
     assert got["small"].epochs == 3.0 and got["absent"].mixed_tokens == 0 and max(r for _, r in a) <= 3
@@ -99,3 +99,29 @@ def test_mix(spark):
     assert abs(rep.collect()[0].mixed_tokens - 1000) < 60 and half.where("source <> 'big'").count() == 0
     none, rep = mixing.mix(docs.limit(0), targets)
     assert none.count() == 0 and all(r.actual_share == 0 for r in rep.collect())
+
+
+def test_no_document_above_the_cap(spark):
+    # a clamped source whose documents are nearly all empty, and one without epochs
+    docs = spark.createDataFrame([(i, "a", "word " * 40 if i == 7 else "") for i in range(40)] + [(100 + i, "b", "grid mesh") for i in range(40)] + [(200, "c", "")], "doc_id bigint, source string, text string")
+    targets = spark.createDataFrame([("a", 0.9, 2), ("b", 0.1, 1), ("c", 0.0, 3)], "source string, target_share double, max_repeats int")
+    for total in (None, 10**6):
+        mixed, report = mixing.mix(docs, targets, total)
+        got = {r.source: r for r in report.collect()}
+        assert got["a"].most_repeats == 2 and got["b"].most_repeats == 1 and got["c"].most_repeats == 0
+        assert mixed.where("source = 'a' and repeats > 2 or source = 'c'").count() == 0
+
+
+def test_exact_shares_and_buckets(spark, monkeypatch):
+    rng = random.Random(3)
+    docs = spark.createDataFrame([(i, rng.choice("aaaaabbbcd"), "grid " * rng.randrange(1, 20)) for i in range(6000)] + [(9999, "e", None)], "doc_id bigint, source string, text string")
+    targets = spark.createDataFrame([("a", 0.3, 2), ("b", 0.3, 1), ("c", 0.2, 4), ("d", 0.2, 3), ("e", 0.1, 9)], "source string, target_share double, max_repeats int")
+    mixed, report = mixing.mix(docs, targets)
+    for r in report.collect():
+        assert abs(r.actual_share - (r.target_share if r.source != "e" else 0)) < 1e-3 * 1.2 and r.most_repeats <= r.max_repeats
+    monkeypatch.setattr(mixing, "BUCKET", 300)
+    again = mixing.mix(docs, targets)[0]
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, mixed.collect()))
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 4)
+    with pytest.raises(ValueError):
+        mixing.mix(docs, targets)
