@@ -30,29 +30,65 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, else a new one that is set for this (local) session."""
+    """The folder all executors share: spark.checkpoint.dir. Only a local session may have none; it gets a temporary one."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
         where = found.get() if found.isDefined() else None
     if not where:
-        where = "file://" + tempfile.mkdtemp(prefix="cairn-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="cairn-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        where = "file://" + folder
         spark.sparkContext.setCheckpointDir(where)
     return where
 
 
+_SCRATCH: dict[str, SparkSession] = {}
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name below the shared folder, for this application only: what is there when Python ends is removed."""
+    app = f"{shared_dir(spark)}/cairn/{spark.sparkContext.applicationId}"
+    if app not in _SCRATCH:
+        _SCRATCH[app] = spark
+        atexit.register(_remove, spark, app)
+    return f"{app}/{name}-{uuid.uuid4().hex}"
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jvm.org.apache.hadoop.conf.Configuration()).delete(where, True)
+    except Exception:  # the JVM has gone: nothing can be removed any more
+        pass
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Writes df below the shared folder and reads it back: lineage is cut and survives the loss of executors."""
+    """Writes df below the shared folder and reads it back: lineage is cut and survives the loss of executors.
+
+    It runs at once, also where the caller only builds a plan. ``discard`` removes the table early.
+    """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/cairn/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes tables that ``materialise`` made and that no plan to come reads."""
+    for t in tables:
+        _remove(t.sparkSession, t.scratch)
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A narrow plan over fewer partitions than there are cores, as over one small file, gets one per core; any other stays as it is.
+    """A narrow plan over fewer splits than there are cores, as over one small file, gets a partition per core; any other stays as it is.
 
-    Call it with the columns already chosen, right before Python. It plans, but runs nothing.
+    Call it on a plain scan with the columns already chosen, right before Python: what is planned here is
+    only the scan's splits, no job runs. Large tables always have more splits than cores.
     """
     plan = df._jdf.queryExecution().executedPlan()
     if "Exchange" in plan.toString():
