@@ -51,6 +51,11 @@ def p5_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return provenance.not_handwritten(table(spark, sf_dir, "code_records"), reasons=True)
 
 
+def p5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules of each file and how many of them other repositories have: evidence that doesn't decide."""
+    return provenance.shared_rules(table(spark, sf_dir, "code_records"))
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(table(spark, sf_dir, "documents"))
 
@@ -91,7 +96,7 @@ _CLASSES = r"""
   select c.rec_id, c.class_id, c.copies, coalesce(l.links, 0) as links from c left join l on l.a = c.class_id
 """
 
-QUERIES = {"p2_found": p2_found, "p2_classes": p2_classes, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p4_clean": p4_clean, "p5_found": p5_found, "p5_reasons": p5_reasons, "p6_ids": p6_ids, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_shares": p8_shares}
+QUERIES = {"p2_found": p2_found, "p2_classes": p2_classes, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p4_clean": p4_clean, "p5_found": p5_found, "p5_reasons": p5_reasons, "p5_rules": p5_rules, "p6_ids": p6_ids, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_shares": p8_shares}
 
 SQL = {
     "p2_found": _SHINGLES + "select rec_id_a, rec_id_b from p",
