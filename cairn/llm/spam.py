@@ -6,9 +6,10 @@ half of it is stitched from phrases that other hosts repeat, joined with list-de
 A page is cut into stretches. Sentences, code, logs, changes and descriptions are prose; what is left
 is list-like: runs of short items, bare links with their anchors, tags, sentences that repeat a
 phrase within themselves, or runs of short sentences of hardly any words but the same. A list-like
-stretch counts as stuffing if its list density is high by itself (its words or word pairs recur, or it
-is links or tags), or if most of its phrase shingles (pairs of words) occur on at least ``HOSTS``
-hosts. Only list-like stretches give shingles, each once a page.
+stretch of words counts as stuffing if enough of its phrase shingles (pairs of words) occur on at least
+``HOSTS`` hosts, this one among them: how many it takes depends on its list density, ``DENSE`` of them if its
+words or word pairs recur, ``REPLICATED`` if not. Links and tags are list-like by themselves, as what they
+point at is hardly ever shared. Only list-like stretches give shingles, each once a page.
 
 Scale: one narrow pass over the texts, then shingles as 64-bit hashes; hosts are counted by two
 partial aggregations, so a site with a third of all pages is pre-aggregated before the shuffle.
@@ -30,9 +31,9 @@ from cairn.runtime import materialise, spread
 #: Share of a page above which it is a case.
 SHARE = 0.5
 #: Hosts on which a shingle must occur to count as replicated elsewhere.
-HOSTS = 3
-#: Share of replicated shingles that makes a list-like stretch stuffing.
-REPLICATED = 0.5
+HOSTS = 2
+#: Share of replicated shingles that makes a dense list-like stretch stuffing, and any other list-like one.
+DENSE, REPLICATED = 0.2, 0.5
 
 _WORD = re.compile(r"\w+")
 _LINK = re.compile(
@@ -180,19 +181,20 @@ def page_evidence(docs: DataFrame) -> DataFrame:
     return spread(rows.where(F.length("text") > 0)).mapInArrow(_pages, "doc_id bigint, site string, total bigint, links bigint, parts array<struct<size:int,dense:boolean,shingles:array<bigint>>>")
 
 
-def stuffed_pages(docs: DataFrame, hosts: int = HOSTS, replicated: float = REPLICATED, share: float = SHARE, scores: bool = False) -> DataFrame:
+def stuffed_pages(docs: DataFrame, hosts: int = HOSTS, dense: float = DENSE, replicated: float = REPLICATED, share: float = SHARE, scores: bool = False) -> DataFrame:
     """doc_id of the pages of which more than ``share`` is stuffing, with ``scores`` the shares as well.
 
-    doc_id is unique; a row repeated whole comes out once. An empty table gives no row.
+    doc_id is unique; a row repeated whole comes out once. An empty table gives no row. Phrases of a single
+    host are replicated nowhere, so on a crawl of one host only links and tags count.
     """
     pages = materialise(page_evidence(docs), "pages")
     parts = pages.select("doc_id", "site", F.posexplode("parts").alias("part", "p")).select("doc_id", "site", "part", F.col("p.size").alias("size"), F.col("p.dense").alias("dense"), F.col("p.shingles").alias("shingles"))
     one = parts.select("doc_id", "site", "part", F.explode("shingles").alias("shingle"))
     # how many hosts have it: distinct (shingle, host) first, so that a large site is one row a shingle
-    spread = one.select("shingle", "site").distinct().groupBy("shingle").agg(F.count(F.lit(1)).alias("hosts")).where(F.col("hosts") >= hosts).select("shingle", F.lit(1).alias("elsewhere"))
-    shares = one.join(spread, "shingle", "left").groupBy("doc_id", "part").agg(F.avg(F.coalesce("elsewhere", F.lit(0))).alias("replicated"))
+    elsewhere = one.select("shingle", "site").distinct().groupBy("shingle").agg(F.count(F.lit(1)).alias("hosts")).where(F.col("hosts") >= hosts).select("shingle", F.lit(1).alias("elsewhere"))
+    shares = one.join(elsewhere, "shingle", "left").groupBy("doc_id", "part").agg(F.avg(F.coalesce("elsewhere", F.lit(0))).alias("replicated"))
     judged = parts.select("doc_id", "part", "size", "dense").distinct().join(shares, ["doc_id", "part"], "left")
-    counts = F.col("dense") | (F.coalesce("replicated", F.lit(0.0)) >= replicated)
+    counts = F.coalesce("replicated", F.lit(0.0)) >= F.when(F.col("dense"), dense).otherwise(replicated)
     mass = judged.groupBy("doc_id").agg(F.sum(F.when(counts, F.col("size")).otherwise(0)).alias("stuffed"))
     out = pages.select("doc_id", "total", "links").distinct().join(mass, "doc_id", "left")
     out = out.withColumn("share", (F.col("links") + F.coalesce("stuffed", F.lit(0))) / F.col("total"))

@@ -37,9 +37,19 @@ def pages(spark, texts, site=lambda i: f"s{i % 3}"):
 
 
 def test_kinds(spark):
+    # phrases count if another host has them as well
     texts = [*GOOD.values(), *BAD.values(), FOOTER, None, "", " \n", "\ufeff"]
-    got = sorted(r.doc_id for r in spam.stuffed_pages(pages(spark, texts)).collect())
-    assert got == list(range(len(GOOD), len(GOOD) + len(BAD)))
+    elsewhere = [*GOOD.values(), *BAD.values(), FOOTER]
+    got = sorted(r.doc_id for r in spam.stuffed_pages(pages(spark, texts + elsewhere, site=lambda i: f"s{i}")).collect())
+    want = list(range(len(GOOD), len(GOOD) + len(BAD)))
+    assert got == want + [len(texts) + i for i in want]
+
+
+def test_hosts_and_density_count_together(spark):
+    keywords = [BAD[k] for k in ("commas", "spaces", "lines", "stuffed")]
+    links = [BAD[k] for k in ("links", "anchors", "urls", "hashtags")]
+    found = lambda site: spam.stuffed_pages(pages(spark, keywords + keywords + links, site=site)).count()
+    assert found(lambda i: "one") == len(links) and found(lambda i: f"h{i}") == 2 * len(keywords) + len(links)
 
 
 def test_phrases_of_other_hosts_decide(spark):
@@ -52,8 +62,8 @@ def test_phrases_of_other_hosts_decide(spark):
 
 
 def test_empty_repeated_and_null_sites(spark):
-    df = pages(spark, [BAD["commas"], GOOD["prose"]], site=lambda i: None)
-    assert [r.doc_id for r in spam.stuffed_pages(df.union(df)).collect()] == [0]
+    df = pages(spark, [BAD["commas"], GOOD["prose"], BAD["commas"]], site=lambda i: "a" if i == 2 else None)
+    assert sorted(r.doc_id for r in spam.stuffed_pages(df.union(df)).collect()) == [0, 2]
     assert spam.stuffed_pages(df.limit(0)).count() == 0
 
 
@@ -80,8 +90,9 @@ def test_keywords_between_full_stops(spark):
         "그물의 꼭짓점을 합칩니다. 면의 방향을 바꿉니다. 결과는 파일에 저장됩니다. 곡선을 더 부드럽게 만듭니다. 경계가 닫혀 있지 않습니다.",
         " ".join(f"Returns the {w}." for w in SENTENCES.replace(".", "").split()),
     ]
-    got = sorted(r.doc_id for r in spam.stuffed_pages(pages(spark, [*good, *bad])).collect())
-    assert got == list(range(len(good), len(good) + len(bad)))
+    got = sorted(r.doc_id for r in spam.stuffed_pages(pages(spark, [*good, *bad, *good, *bad], site=lambda i: f"h{i}")).collect())
+    want = list(range(len(good), len(good) + len(bad)))
+    assert got == want + [len(good) + len(bad) + i for i in want]
 
 
 def test_short_sentences_decide_by_other_hosts(spark):
