@@ -19,8 +19,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cairn.runtime import filesystem, numbered, read_text, scratch, write_once
+
 #: Sequence numbers in a block: the bound of every group that a task sorts.
 BLOCK = 1 << 15
+#: Blocks with gaps that a broadcast carries; beyond it they are joined by a shuffle.
+BROADCAST_BLOCKS = 100_000
 
 INTERVALS = "block bigint, lo bigint, hi bigint"
 
@@ -74,6 +78,21 @@ def merge(a: DataFrame, b: DataFrame) -> DataFrame:
     return _joined(_coverage((a, "a"), (b, "b")).where("a > 0 or b > 0").select("block", "lo", "hi"))
 
 
+def rows_near(rows: DataFrame, seq: str, gaps: DataFrame) -> DataFrame:
+    """The rows of the blocks that have a gap: what else there is never gets into a shuffle.
+
+    The outermost numbers go into the scan as a filter, the blocks come by a semi-join. ``gaps`` should be a written table.
+    """
+    low, high, n = gaps.agg(F.min("lo"), F.max("hi"), F.count_distinct("block")).first()
+    if n == 0:
+        return rows.where(F.lit(False))
+    number = F.col(f"`{seq}`")
+    blocks = gaps.select(F.col("block").alias("_block")).distinct()
+    near = rows.where((number >= low) & (number <= high))
+    near = near.withColumn("_block", _block(number.cast("bigint")))
+    return near.join(F.broadcast(blocks) if n <= BROADCAST_BLOCKS else blocks, "_block", "left_semi").drop("_block")
+
+
 def rows_in(rows: DataFrame, seq: str, gaps: DataFrame) -> DataFrame:
     """The rows whose number lies in one of the (disjoint) gaps, with the columns of ``rows``.
 
@@ -81,7 +100,8 @@ def rows_in(rows: DataFrame, seq: str, gaps: DataFrame) -> DataFrame:
     the only one that can hold it. Rows with a null number are in no gap.
     """
     cols = rows.columns
-    tagged = rows.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("r"), F.col(f"`{seq}`").cast("bigint").alias("pos")).where("pos is not null")
+    near = rows_near(rows, seq, gaps)
+    tagged = near.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("r"), F.col(f"`{seq}`").cast("bigint").alias("pos")).where("pos is not null")
     tagged = tagged.select(_block(F.col("pos")).alias("block"), "pos", F.lit(1).alias("kind"), F.lit(None).cast("bigint").alias("hi"), "r")
     starts = gaps.select("block", F.col("lo").alias("pos"), F.lit(0).alias("kind"), "hi", F.lit(None).cast(tagged.schema["r"].dataType).alias("r"))
     w = Window.partitionBy("block").orderBy("pos", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -94,51 +114,59 @@ class Conflict(RuntimeError):
 
 
 class IntervalLedger:
-    """The processed intervals and the outputs of a job, below a folder that all executors share.
+    """The processed intervals and the outputs of a job, kept between runs below a folder that all executors share.
 
     ``commits/<n>.json`` names the output and the interval snapshot of commit n. It appears by a rename
     that doesn't replace, which is the only commit point: output of a run that died before it is never
-    read, and the next run meets the same gaps. Two runs at once can't both commit.
+    read, and the next run meets the same gaps. Two runs at once can't both commit. Every ``CHECKPOINT``
+    commits ``checkpoints/<n>.json`` sums up the log, so a run reads a bounded number of small files.
     """
 
+    CHECKPOINT = 32
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-        jvm = spark._jvm
-        self._to = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-        self._fs = self._to(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
-        self._fs.mkdirs(self._to(f"{self.path}/commits"))
-
-    def commits(self) -> list[dict]:
-        found = []
-        for s in self._fs.listStatus(self._to(f"{self.path}/commits")):
-            if s.getPath().getName().endswith(".json"):
-                stream = self._fs.open(s.getPath())
-                try:
-                    found.append(json.loads(bytes(stream.readAllBytes()).decode()))
-                finally:
-                    stream.close()
-        return sorted(found, key=lambda c: c["version"])
+        self._fs, self._to = filesystem(spark, self.path)
+        for folder in ("commits", "checkpoints"):
+            self._fs.mkdirs(self._to(f"{self.path}/{folder}"))
+
+    def version(self) -> int:
+        return max(numbered(self.spark, f"{self.path}/commits"), default=0)
+
+    def _commit_of(self, n: int) -> dict:
+        return json.loads(read_text(self.spark, f"{self.path}/commits/{n:09d}.json"))
+
+    def outputs(self, since: int = 0) -> list[str]:
+        """The folders of committed output of versions above ``since``, in their order."""
+        last = self.version()
+        known = [n for n in numbered(self.spark, f"{self.path}/checkpoints") if n <= last]
+        summed = json.loads(read_text(self.spark, f"{self.path}/checkpoints/{known[-1]:09d}.json")) if known else {"version": 0, "outputs": []}
+        later = [(n, self._commit_of(n)["output"]) for n in range(summed["version"] + 1, last + 1)]
+        return [o for n, o in [*map(tuple, summed["outputs"]), *later] if o and n > since]
 
     def processed(self) -> DataFrame:
-        done = self.commits()
-        if not done:
+        n = self.version()
+        if n == 0:
             return self.spark.createDataFrame([], INTERVALS)
-        return self.spark.read.schema(INTERVALS).parquet(f"{self.path}/{done[-1]['intervals']}")
+        return self.spark.read.schema(INTERVALS).parquet(f"{self.path}/{self._commit_of(n)['intervals']}")
 
-    def output(self, schema) -> DataFrame:
-        paths = [f"{self.path}/{c['output']}" for c in self.commits()]
+    def output(self, schema, since: int = 0) -> DataFrame:
+        paths = [f"{self.path}/{o}" for o in self.outputs(since)]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
+    def gaps(self, available: DataFrame) -> DataFrame:
+        """What of the available intervals isn't processed, as a written table: rows that arrive meanwhile belong to the next run."""
+        path = f"{self.path}/gaps/{uuid.uuid4().hex}"
+        subtract(available, self.processed()).write.parquet(path)
+        return self.spark.read.schema(INTERVALS).parquet(path)
+
     def run(self, source: DataFrame, seq: str, process: Callable[[DataFrame], DataFrame], before_commit: Callable[[], None] | None = None) -> int:
         """Processes what no committed run has processed; returns the version of the new commit.
 
-        ``process`` gets the rows in the gaps. The gaps are written down first, so that rows that arrive
-        meanwhile belong to the next run. ``before_commit`` is called after all data is written.
+        ``process`` gets the rows in the gaps. ``before_commit`` is called after all data is written.
         """
-        done = self.commits()
-        version, run = (done[-1]["version"] + 1 if done else 1), uuid.uuid4().hex
-        subtract(intervals(source, seq), self.processed()).write.parquet(f"{self.path}/gaps/{run}")
-        gaps = self.spark.read.schema(INTERVALS).parquet(f"{self.path}/gaps/{run}")
+        version, run = self.version() + 1, uuid.uuid4().hex
+        gaps = self.gaps(intervals(source, seq))
         process(rows_in(source, seq, gaps)).write.parquet(f"{self.path}/output/{run}")
         merge(self.processed(), gaps).write.parquet(f"{self.path}/intervals/{run}")
         if before_commit:
@@ -146,31 +174,33 @@ class IntervalLedger:
         self._commit({"version": version, "output": f"output/{run}", "intervals": f"intervals/{run}"})
         return version
 
+    def settle(self, done: DataFrame) -> int:
+        """Commits intervals that are known to be processed, without output: numbers that were processed and aren't in
+        ``done`` (their output was lost elsewhere) are gaps again."""
+        version, run = self.version() + 1, uuid.uuid4().hex
+        done.select("block", "lo", "hi").write.parquet(f"{self.path}/intervals/{run}")
+        self._commit({"version": version, "output": None, "intervals": f"intervals/{run}"})
+        return version
+
     def _commit(self, entry: dict) -> None:
-        jvm = self.spark._jvm
-        temp = self._to(f"{self.path}/commits/.{uuid.uuid4().hex}.tmp")
-        stream = self._fs.create(temp, False)
-        try:
-            stream.write(json.dumps(entry).encode())
-        finally:
-            stream.close()
-        target = self._to(f"{self.path}/commits/{entry['version']:09d}.json")
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self.spark._jsc.hadoopConfiguration())
-        kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-        options = self.spark.sparkContext._gateway.new_array(kind, 1)
-        options[0] = kind.NONE
+        n = entry["version"]
         try:
-            context.rename(temp, target, options)
-        except Exception as err:
-            self._fs.delete(temp, False)
-            if "FileAlreadyExistsException" in str(err):
-                raise Conflict(f"commit {entry['version']} exists") from err
-            raise
+            write_once(self.spark, f"{self.path}/commits/{n:09d}.json", json.dumps(entry))
+        except FileExistsError as err:
+            raise Conflict(f"commit {n} exists") from err
+        if n % self.CHECKPOINT == 0:
+            before = max((k for k in numbered(self.spark, f"{self.path}/checkpoints") if k < n), default=0)
+            outputs = json.loads(read_text(self.spark, f"{self.path}/checkpoints/{before:09d}.json"))["outputs"] if before else []
+            outputs += [[k, self._commit_of(k)["output"]] for k in range(before + 1, n + 1)]
+            try:
+                write_once(self.spark, f"{self.path}/checkpoints/{n:09d}.json", json.dumps({"version": n, "outputs": outputs}))
+            except FileExistsError:  # another one summed up the same log
+                pass
 
     def vacuum(self) -> int:
         """Removes what no commit names (run it while no other run is at work); returns how many folders."""
-        done, removed = self.commits(), 0
-        keep = {c["output"] for c in done} | {c["intervals"] for c in done[-1:]}
+        removed, last = 0, self.version()
+        keep = {*self.outputs(), *([self._commit_of(last)["intervals"]] if last else [])}
         for kind in ("gaps", "output", "intervals"):
             where = self._to(f"{self.path}/{kind}")
             for s in self._fs.listStatus(where) if self._fs.exists(where) else []:
@@ -230,11 +260,17 @@ def settled(chunks: DataFrame, store_rows: DataFrame, load_flushes: DataFrame) -
     return intervals(done, "seq")
 
 
-def pending_chunks(chunks: DataFrame, store_rows: DataFrame, load_flushes: DataFrame) -> DataFrame:
+def pending_chunks(chunks: DataFrame, store_rows: DataFrame, load_flushes: DataFrame, ledger: IntervalLedger | None = None) -> DataFrame:
     """The chunks (record_id, chunk_type, part) that the next load must embed and store.
 
+    The ledger is brought up to date by what the store has durably kept, numbers of lost flushes going back
+    to the gaps, and what comes out are the rows in its gaps. Without a ledger one is made for this call.
+
     Nulls: part counts as 0, null record_id or chunk_type is a key like another, null text as empty.
     Repeated and late deliveries, and rows repeated whole, give one row. Empty tables give no row.
     """
-    gaps = subtract(intervals(chunks, "chunk_seq"), settled(chunks, store_rows, load_flushes))
+    spark = chunks.sparkSession
+    ledger = ledger or IntervalLedger(spark, scratch(spark, "ledger"))
+    ledger.settle(settled(chunks, store_rows, load_flushes))
+    gaps = ledger.gaps(intervals(chunks, "chunk_seq"))
     return rows_in(_deliveries(chunks).drop("parsed_at"), "seq", gaps).select(*KEY).distinct().select(F.nullif("record_id", F.lit(_NULL)).alias("record_id"), F.nullif("chunk_type", F.lit(_NULL)).alias("chunk_type"), "part")

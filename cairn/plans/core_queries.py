@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.operators import incremental as inc
-from cairn.runtime import shared_dir
+from cairn.runtime import scratch
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,9 +27,9 @@ def p1_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Low sequence numbers that arrive late are picked up by the run after; each delivery comes out once.
     """
-    rows = table(spark, sf_dir, "chunks").select("chunk_seq", "record_id", "chunk_type", "part", "arrived_at")
-    ledger = inc.IntervalLedger(spark, f"{shared_dir(spark)}/cairn/replay-{uuid.uuid4().hex}")
-    keep = lambda df: df.select("chunk_seq", "record_id", "chunk_type", F.coalesce("part", F.lit(0)).alias("part"))
+    rows = table(spark, sf_dir, "chunks")
+    ledger = inc.IntervalLedger(spark, scratch(spark, "replay"))
+    keep = lambda df: df.withColumn("part", F.coalesce("part", F.lit(0)))
 
     def die() -> None:
         raise InterruptedError
@@ -43,7 +41,7 @@ def p1_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
         pass
     ledger.run(rows.where("arrived_at < timestamp_ntz'2025-06-01'"), "chunk_seq", keep)
     ledger.run(rows, "chunk_seq", keep)
-    return ledger.output(keep(rows).schema)
+    return ledger.output(keep(rows).schema).select("chunk_seq", "record_id", "chunk_type", "part", F.md5(F.coalesce("text", F.lit("-"))).alias("text_md5"), F.md5(F.coalesce("return_text", F.lit("-"))).alias("return_md5"), "parsed_at")
 
 
 _STATE = """
@@ -66,5 +64,5 @@ SQL = {
     + f""", n as (select distinct chunk_seq as n, chunk_seq // {inc.BLOCK} as block from f where done),
   i as (select *, n - row_number() over (partition by block order by n) as run from n)
   select block, min(n) as lo, max(n) as hi from i group by block, run""",
-    "p1_replay": "select chunk_seq, record_id, chunk_type, coalesce(part, 0) as part from chunks",
+    "p1_replay": "select chunk_seq, record_id, chunk_type, coalesce(part, 0) as part, md5(coalesce(text, '-')) as text_md5, md5(coalesce(return_text, '-')) as return_md5, parsed_at from chunks",
 }

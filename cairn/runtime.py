@@ -84,6 +84,57 @@ def discard(*tables: DataFrame) -> None:
         _remove(t.sparkSession, t.scratch)
 
 
+def filesystem(spark: SparkSession, path: str):
+    """(file system of a path, what makes a path of it)."""
+    to = spark._jvm.org.apache.hadoop.fs.Path
+    return to(path).getFileSystem(spark._jsc.hadoopConfiguration()), to
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, to = filesystem(spark, path)
+    stream = fs.open(to(path))
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_once(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole and never replaces another: FileExistsError if there is one already.
+
+    It is written under another name and renamed without overwriting, which the file system must do atomically.
+    """
+    fs, to = filesystem(spark, path)
+    folder, name = path.rsplit("/", 1)
+    temp = to(f"{folder}/.{name}.{uuid.uuid4().hex}.tmp")
+    stream = fs.create(temp, False)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    jvm = spark._jvm
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.NONE
+    try:
+        context.rename(temp, to(path), options)
+    except Exception as err:
+        fs.delete(temp, False)
+        if "FileAlreadyExistsException" in str(err):
+            raise FileExistsError(path) from err
+        raise
+
+
+def numbered(spark: SparkSession, folder: str) -> list[int]:
+    """The numbers that files of a folder are called (with or without .json), ascending: one listing, nothing is read."""
+    fs, to = filesystem(spark, folder)
+    if not fs.exists(to(folder)):
+        return []
+    names = [f.getPath().getName().removesuffix(".json") for f in fs.listStatus(to(folder))]
+    return sorted(int(n) for n in names if n.isdigit())
+
+
 def spread(df: DataFrame) -> DataFrame:
     """A narrow plan over fewer splits than there are cores, as over one small file, gets a partition per core; any other stays as it is.
 
