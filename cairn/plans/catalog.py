@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +9,7 @@ from cairn.config import BOUNDARIES, EXAMPLE_DIRS, LICENSES, RECIPES
 from cairn.functions import fields as fl
 from cairn.functions import text as tx
 from cairn.operators import chunking, enrich, markdown, policy, pycode, search, signatures, store
-from cairn.runtime import shared_dir
+from cairn.runtime import scratch
 from cairn.schema import RECORD
 from cairn.sources import records as rec
 from cairn.streaming import ingest
@@ -102,7 +100,7 @@ def store_count(spark, sf_dir):
 
 def stream_ingest(spark, sf_dir):
     """The chunks as a stream into a vector store, and what the store then holds."""
-    home = f"{shared_dir(spark)}/cairn/stream-{uuid.uuid4().hex}"
+    home = scratch(spark, "stream")
     vectors = store.VectorStore.create(spark, home, dim=64)
     # four arrivals; all deliveries of a record arrive together
     source = table(spark, sf_dir, "chunks")
@@ -116,7 +114,7 @@ def stream_ingest(spark, sf_dir):
 
 def jsonl_roundtrip(spark, sf_dir):
     """All records written as JSON lines and read again."""
-    home = f"{shared_dir(spark)}/cairn/jsonl-{uuid.uuid4().hex}"
+    home = scratch(spark, "jsonl")
     rec.write_jsonl(all_records(spark, sf_dir), home)
     back = rec.read_jsonl(spark, home, "rec_id bigint, " + RECORD)
     return back.select("rec_id", "name", "kind", F.size(F.flatten("parameters")).alias("n_parameters"), F.md5(F.coalesce("section_text", "code", "doc", F.lit("-"))).alias("text_md5"), F.array_join("heading_path", " > ").alias("path"), "corpus")
@@ -419,7 +417,7 @@ SQL = {
     "incremental_pending": _OLD_NEW + "select chunk_id, text_hash from f",
     "upsert_result": _UP + "select * from u",
     "store_count": _UP + "select count(*) as n, count(distinct chunk_id) as n_ids from u",
-    "stream_ingest": f"select chunk_id, record_id, chunk_type, text_hash, 64 as dim from (select {_ID} as chunk_id, record_id, chunk_type, {_HASH} as text_hash, corpus from chunks) qualify row_number() over (partition by chunk_id order by corpus desc, text_hash desc) = 1",
+    "stream_ingest": f"select chunk_id, record_id, chunk_type, text_hash, 64 as dim from (select {_ID} as chunk_id, record_id, chunk_type, {_HASH} as text_hash, parsed_at, arrived_at, chunk_seq from chunks) qualify row_number() over (partition by chunk_id order by parsed_at desc nulls last, arrived_at desc nulls last, chunk_seq desc) = 1",
     "jsonl_roundtrip": _RECORDS.rstrip().rstrip(",") + " select rec_id, name, kind, len(flatten(parameters))::int as n_parameters, md5(coalesce(section_text, code, doc, '-')) as text_md5, array_to_string(heading_path, ' > ') as path, corpus from r",
     "prefix_exclude": f"select a.rec_id, a.name from api_records a where not exists (select 1 from {_P} where {_BELOW})",
     "prefix_keep": f"select a.rec_id, a.name from api_records a where exists (select 1 from {_P} where {_BELOW})",

@@ -33,6 +33,44 @@ def test_load_twice_and_change(spark, tmp_path):
     assert s.count() == 2 and store.VectorStore.open(spark, path).meta()["metric"] == "cosine"
 
 
+def test_a_load_writes_its_change_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store.VectorStore, "COMPACT", 4)
+    s = store.VectorStore.create(spark, f"file://{tmp_path}/s", dim=4)
+    embed = lambda df: enrich.embed(df, enrich.HashEmbedder(4))
+    rows = [(f"n{i}", "doc", 0, f"t{i}", None, "c") for i in range(50)]
+    assert s.load(chunks(spark, *rows), embed) == 50
+    for k in range(3):
+        rows[k] = (f"n{k}", "doc", 0, f"changed{k}", None, "c")
+        assert s.load(chunks(spark, *rows), embed) == 1
+        sizes = [spark.read.parquet(str(p)).count() for p in (tmp_path / "s" / "deltas").iterdir()]
+        assert sum(sizes) == 50 + k + 1  # in proportion to the change
+    assert s.version() == 5 and s._head(5)["deltas"] == [] and s.count() == 50  # folded
+    assert {r.document for r in s.read().where("chunk_id in ('n0::doc', 'n1::doc', 'n5::doc')").collect()} == {"changed0", "changed1", "t5"}
+    assert s.read(1).where("document = 't0'").count() == 1  # older versions can be read until they are removed
+    assert s.vacuum() == 4 and s.count() == 50 and s.version() == 5
+
+
+def test_two_writers(spark, tmp_path):
+    a, b = (store.VectorStore.create(spark, f"file://{tmp_path}/s", dim=4) for _ in range(2))
+    embed = lambda df: enrich.embed(df, enrich.HashEmbedder(4))
+
+    def slow(df):
+        b.load(chunks(spark, ("n", "doc", 0, "other", None, "c")), embed)
+        return embed(df)
+
+    with pytest.raises(store.Conflict):
+        a.load(chunks(spark, ("n", "doc", 0, "mine", None, "c")), slow)
+    assert [r.document for r in a.read().collect()] == ["other"] and a.version() == 1
+    assert len(list((tmp_path / "s" / "deltas").iterdir())) == 1
+
+
+def test_the_last_delivery_counts(spark, tmp_path):
+    s = store.VectorStore.create(spark, f"file://{tmp_path}/s", dim=4)
+    rows = spark.createDataFrame([(k, "n", "doc", 0, t, None, "c") for k, t in ((1, "zz"), (3, "mm"), (2, "aa"))], "chunk_seq bigint, " + CH)
+    s.load(rows, lambda df: enrich.embed(df, enrich.HashEmbedder(4)))
+    assert [r.document for r in s.read().collect()] == ["mm"]
+
+
 def test_failed_embeddings_stay_pending(spark, tmp_path):
     s = store.VectorStore.create(spark, f"file://{tmp_path}/s")
 
