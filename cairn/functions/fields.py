@@ -24,6 +24,26 @@ def parameter_names(parameters: Column) -> Column:
     return _labelled("parameters: ", _joined(names, ", "))
 
 
+def _printed_string(token: Column) -> Column:
+    """A JSON string as Python shows it inside a list: single quotes, unless it holds them and no double ones."""
+    text = F.get_json_object(F.concat(F.lit('{"v":'), token, F.lit("}")), "$.v")
+    for plain, shown in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        text = F.replace(text, F.lit(plain), F.lit(shown))
+    quote = F.when(F.contains(text, F.lit("'")) & ~F.contains(text, F.lit('"')), F.lit('"')).otherwise(F.lit("'"))
+    return F.concat(quote, F.when(quote == "'", F.replace(text, F.lit("'"), F.lit("\\'"))).otherwise(text), quote)
+
+
+_WORDS = {"null": "None", "true": "True", "false": "False"}
+
+
+def printed(value: Column) -> Column:
+    """A JSON value as Python prints it: bare strings, True, False and None; numbers as they are spelled."""
+    tokens = F.regexp_extract_all(value, F.lit(r'("(?:[^"\\]|\\.)*"|[^"]+)'), 1)
+    words = lambda t: F.regexp_replace(F.regexp_replace(F.regexp_replace(t, r"\bnull\b", _WORDS["null"]), r"\btrue\b", _WORDS["true"]), r"\bfalse\b", _WORDS["false"])
+    nested = F.array_join(F.transform(tokens, lambda t: F.when(t.startswith('"'), _printed_string(t)).otherwise(words(t))), "")
+    return F.when(value.startswith('"'), F.coalesce(F.get_json_object(F.concat(F.lit('{"v":'), value, F.lit("}")), "$.v"), value)).otherwise(nested)
+
+
 FIELDS: dict[str, Callable[[], Column]] = {
     **{c: (lambda c=c: present(F.col(c))) for c in ("name", "kind", "explanation", "doc", "code", "section_text")},
     "heading_path": lambda: _joined(F.col("heading_path"), " > "),
@@ -34,7 +54,7 @@ FIELDS: dict[str, Callable[[], Column]] = {
     "apis_used": lambda: _labelled("uses: ", _joined(F.col("apis_used"), ", ")),
     "enum_members": lambda: _labelled("members: ", _joined(F.transform(F.col("members"), lambda m: m.getField("name")), ", ")),
     "enum_of": lambda: _labelled("belongs to enum: ", present(F.col("enum_of"))),
-    "value": lambda: _labelled("value: ", F.col("value")),
+    "value": lambda: _labelled("value: ", printed(F.col("value"))),
 }
 
 

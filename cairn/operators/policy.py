@@ -7,7 +7,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from cairn.config import EXAMPLE_DIRS, LICENSES
 from cairn.functions.fields import field
@@ -22,17 +21,10 @@ def is_public(name: Column) -> Column:
 
 
 def load_prefixes(source: str) -> list[str]:
-    """All strings of the literal lists that a policy file assigns at top level, in order, once each. The file is parsed, never run."""
-    found: list[str] = []
-    for node in ast.parse(source).body:
-        if isinstance(node, ast.Assign):
-            try:
-                value = ast.literal_eval(node.value)
-            except ValueError:
-                continue
-            if isinstance(value, list | tuple):
-                found += [v for v in value if isinstance(v, str)]
-    return list(dict.fromkeys(found))
+    """All string literals of the lists that a policy file assigns at top level, in order, once each. The file is parsed, never
+    run; what else a list holds is passed over."""
+    lists = [n.value.elts for n in ast.parse(source).body if isinstance(n, ast.Assign) and isinstance(n.value, ast.List | ast.Tuple)]
+    return list(dict.fromkeys(e.value for elts in lists for e in elts if isinstance(e, ast.Constant) and isinstance(e.value, str)))
 
 
 def dotted_prefixes(name: Column) -> Column:
@@ -169,9 +161,3 @@ def first_by_name(records: DataFrame, order: str, name: str = "name") -> DataFra
     rest = [c for c in records.columns if c != name]
     best = records.groupBy(name).agg(F.min_by(F.struct(*rest), F.col(order)).alias("r"))
     return best.select(name, *[F.col("r").getField(c).alias(c) for c in rest]).orderBy(name)
-
-
-def first_by_window(records: DataFrame, order: str, name: str = "name") -> DataFrame:
-    """As first_by_name, but by rank: the plan keeps one row per group early."""
-    w = Window.partitionBy(name).orderBy(order)
-    return records.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn").orderBy(name)

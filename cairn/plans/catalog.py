@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import keyword
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,8 +11,9 @@ from cairn.config import BOUNDARIES, EXAMPLE_DIRS, LICENSES, RECIPES
 from cairn.functions import fields as fl
 from cairn.functions import text as tx
 from cairn.operators import chunking, enrich, markdown, policy, pycode, search, signatures, store
-from cairn.runtime import scratch
+from cairn.runtime import materialise, scratch
 from cairn.schema import RECORD
+from cairn.sources import fetch, files
 from cairn.sources import records as rec
 from cairn.streaming import ingest
 
@@ -275,6 +278,74 @@ def code_segments(spark, sf_dir):
     return made.select("name", "kind", F.array_join("apis_used", ",").alias("apis_used")).unionByName(n)
 
 
+def _api_names(spark, sf_dir):
+    return table(spark, sf_dir, "api_records").where("name like 'tessarine.%'").select("rec_id", "name", "kind")
+
+
+#: Names that have a keyword as a part can't be spelled in code.
+_KEYWORDS = r"\.(" + "|".join(keyword.kwlist) + r")(\.|$)"
+#: An example of one API name: a function, a decorated class, and lines that nothing covers.
+_EXAMPLE = """import tessarine
+import tessarine as ts
+def use():
+    return {name}()
+@deco
+class Kit:
+    x = ts.{rest}
+    def m(self):
+        tessarine.nosuch.thing
+print({name})"""
+
+
+def code_from_api(spark, sf_dir):
+    """A file of example code per API record, written as a tree with a manifest, read back and taken apart."""
+    api = _api_names(spark, sf_dir)
+    home = scratch(spark, "src")
+    content = F.replace(F.replace(F.lit(_EXAMPLE), F.lit("{name}"), F.col("name")), F.lit("{rest}"), F.expr("substring(name, 11)"))
+    path = F.concat("kind", F.lit("/"), F.col("rec_id").cast("string"), F.lit(".py"))
+    materialise(fetch.write_files(api.select(path.alias("path"), content.alias("content")), f"{home}/api"), "written")
+    listed = {r.path: r for r in api.select(path.alias("path"), "rec_id", "kind").collect()}  # a manifest names all files
+    own = {p: None if r.rec_id % 2 else "ISC" for p, r in listed.items() if r.kind == "class"}
+    fetch.write_manifest(spark, {"license": "MIT", "files": {p: f"u/{r.rec_id}" for p, r in listed.items() if r.kind != "module"}, "licenses": own}, f"{home}/api")
+    made, errors = pycode.code_records(files.read_python(spark, home), LIBRARY, api, files.read_manifests(spark, home))
+    out = made.select("name", "kind", "source", "license", F.array_join("apis_used", ",").alias("apis_used"), F.array_join(F.coalesce("unknown_refs", F.array().cast("array<string>")), ",").alias("unknown_refs"), F.md5("code").alias("code_md5"), "corpus")
+    return out.unionByName(errors.select("path").select(F.col("path").alias("name"), *[F.lit(None).cast("string").alias(c) for c in out.columns[1:]]))
+
+
+def code_scores_from_api(spark, sf_dir):
+    """A file per module whose one function uses all names of the module that can be spelled: densities, lines and unknown references."""
+    api = _api_names(spark, sf_dir)
+    uses = api.where(~F.col("name").rlike(_KEYWORDS)).withColumn("module", F.split_part("name", F.lit("."), F.lit(2))).groupBy("module").agg(F.array_sort(F.collect_set("name")).alias("names"))
+    body = F.array_join(F.transform("names", lambda n: F.concat(F.lit("    "), n)), "\n")
+    files_ = uses.select(F.lit("m").alias("prefix"), F.concat("module", F.lit(".py")).alias("path"), F.concat(F.lit("import tessarine\ndef f():\n"), body, F.lit("\ntessarine.nosuch.thing\n")).alias("content"))
+    return pycode.file_scores(files_, LIBRARY, api).select("path", F.size("apis_used").alias("n_apis"), F.array_join("unknown_refs", ",").alias("unknown_refs"), "n_unknown", "lines", "max_apis_in_function", "qualifying_functions")
+
+
+def tree_roundtrip(spark, sf_dir):
+    """Code and documentation written as source trees with their manifests, and read back with what the manifests say."""
+    home = scratch(spark, "tree")
+    rows = lambda name, text, end: table(spark, sf_dir, name).select("rec_id", "license", F.concat(F.col("rec_id").cast("string"), F.lit(end)).alias("path"), F.coalesce(text, F.lit("")).alias("content"))
+    for prefix, name, text, end in (("code", "code_records", "code", ".py"), ("docs", "doc_sections", "section_text", ".md")):
+        part = rows(name, F.col(text), end)
+        materialise(fetch.write_files(part.withColumn("path", F.concat((F.col("rec_id") % 7).cast("string"), F.lit("/"), "path")), f"{home}/{prefix}"), "written")
+    licensed = rows("code_records", F.col("code"), ".py").collect()
+    name = lambda r: f"{r.rec_id % 7}/{r.path}"
+    fetch.write_manifest(spark, {"license": "none", "files": {name(r): f"u/{r.rec_id}" for r in licensed}, "licenses": {name(r): r.license for r in licensed if r.rec_id % 3}}, f"{home}/code")
+    read = files.read_python(spark, home).unionAll(files.read_markdown(spark, home))
+    return read.join(files.read_manifests(spark, home), ["prefix", "path"], "left").select("prefix", "path", F.md5("content").alias("content_md5"), "url", "license")
+
+
+def chunk_files(spark, sf_dir):
+    """The chunks written as one folder of chunk files per corpus, discovered and read as one; the corpus is the name of the file."""
+    home = scratch(spark, "chunked")
+    rows = table(spark, sf_dir, "chunks").select("record_id", "chunk_type", F.coalesce("part", F.lit(0)).alias("part"), "text", "return_text", "corpus")
+    corpora = [r.corpus for r in rows.select("corpus").distinct().collect()]  # a folder for each
+    for c in corpora:
+        rec.write_jsonl(rows.where(F.col("corpus").eqNullSafe(F.lit(c))).drop("corpus"), f"{home}/{c}_chunks.jsonl")
+    back = rec.read_chunks(spark, home)
+    return back.groupBy("corpus", "chunk_type").agg(F.count(F.lit(1)).alias("n"), F.sum("part").alias("parts"), F.sum(F.length("text")).alias("chars"), F.count("return_text").alias("n_returned"), F.count_distinct("record_id").alias("n_records"))
+
+
 def code_scores(spark, sf_dir):
     code = table(spark, sf_dir, "code_records").where("code is not null")
     files = code.select(F.lit("c").alias("prefix"), F.concat(F.col("rec_id").cast("string"), F.lit(".py")).alias("path"), F.concat(F.lit(f"import {LIBRARY}\nimport {LIBRARY} as ts\n"), F.col("code")).alias("content"))
@@ -312,7 +383,7 @@ QUERIES = {
         field_render, recipe_gate_counts, recipe_rows, clean_markdown, chunk_split_premerge, chunk_split, build_chunks, chunk_ids_hashes, incremental_pending, upsert_result, store_count,
         stream_ingest, jsonl_roundtrip, prefix_exclude, prefix_keep, prefix_counts, public_names, longest_prefix_refs, reference_sets, license_allow, license_lines, repo_prefilter, candidate_rank,
         example_dirs, best_example_dir, invalidate, pending_explanations, dedupe_first, corpus_summary, signature_parameters, property_defaults, kwargs_expand, doc_prose, sections_from_markdown, sections_from_doc_files,
-        code_segments, code_scores, knn_hits, knn_batch, cosine_pairs,
+        code_segments, code_scores, code_from_api, code_scores_from_api, tree_roundtrip, chunk_files, knn_hits, knn_batch, cosine_pairs,
     )
 }
 
@@ -343,7 +414,7 @@ _F = {
     "apis_used": "'uses: ' || case when len(apis_used) > 0 then array_to_string(apis_used, ', ') end",
     "enum_members": "'members: ' || case when len(members) > 0 then array_to_string(list_transform(members, lambda m: m.name), ', ') end",
     "enum_of": "'belongs to enum: ' || nullif(enum_of, '')",
-    "value": "'value: ' || value",
+    "value": "'value: ' || case when value = 'null' then 'None' when value = 'true' then 'True' when value = 'false' then 'False' when json_type(value) = 'VARCHAR' then value ->> '$' else value end",
 }
 
 
@@ -365,18 +436,24 @@ _RECIPES = _RECORDS + "c as (" + " union all ".join(
 
 _LINE_ENDS = r"\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}"
 _RANK = "case " + " ".join(f"when regexp_matches(line, '{p.replace(chr(92) + 's', '[' + _W + ']').replace(chr(92) + 'S', '[^' + _W + ']').replace('$', chr(92) + 'n?$')}') then {k}" for k, p in enumerate(BOUNDARIES)) + " end"
-_SPLIT = rf"""
-  with recursive d as (select doc_id, text from documents where text is not null),
+_PIECES = rf"""
   l as (select doc_id, unnest(regexp_extract_all(text, '[^{_LINE_ENDS}]*(?:\r\n|[{_LINE_ENDS}])|[^{_LINE_ENDS}]+')) as line, generate_subscripts(regexp_extract_all(text, '[^{_LINE_ENDS}]*(?:\r\n|[{_LINE_ENDS}])|[^{_LINE_ENDS}]+'), 1) - 1 as i
     from d where length(text) > {LIMIT}),
   b as (select doc_id, i, line, {_RANK} as rank, coalesce(sum(length(line)) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as off from l
     union all select doc_id, max(i) + 1, '', {len(BOUNDARIES)}, sum(length(line)) from l group by doc_id),
   nx as (select s.doc_id, s.i, coalesce(arg_min(e.i, e.rank * 1000000 - e.i), s.i + 1) as e from b s
     left join b e on e.doc_id = s.doc_id and e.i > s.i and e.off <= s.off + {LIMIT} where s.line <> '' group by s.doc_id, s.i),
-  r as (select doc_id, i, e from nx where i = 0 union all select nx.doc_id, nx.i, nx.e from r join nx on nx.doc_id = r.doc_id and nx.i = r.e),
-  p as (select r.doc_id, r.i, string_agg(b.line, '' order by b.i) as piece from r join b on b.doc_id = r.doc_id and b.i >= r.i and b.i < r.e group by r.doc_id, r.i)
+  z as (select doc_id, i, e from nx where i = 0 union all select nx.doc_id, nx.i, nx.e from z join nx on nx.doc_id = z.doc_id and nx.i = z.e),
+  p as (select z.doc_id, z.i, string_agg(b.line, '' order by b.i) as piece from z join b on b.doc_id = z.doc_id and b.i >= z.i and b.i < z.e group by z.doc_id, z.i)
 """
+_SPLIT = "\n  with recursive d as (select doc_id, text from documents where text is not null)," + _PIECES
 _SMALL = _strip("piece")
+#: Small pieces join the ones before, the first one the one behind; pieces are stripped.
+_MERGED = f"""g as (select *, sum(case when n = 1 or length({_SMALL}) >= {LIMIT // 10} then 1 else 0 end) over (partition by doc_id order by i) as gid from (select *, row_number() over (partition by doc_id order by i) as n from p)),
+  m as (select doc_id, gid, string_agg(piece, '' order by i) as piece from g group by doc_id, gid),
+  h as (select doc_id, case when gid = 2 and first_small then 1 else gid end as gid, gid as old, piece from (select *, max(case when gid = 1 then length({_SMALL}) < {LIMIT // 10} end) over (partition by doc_id) as first_small from m)),
+  t as (select doc_id, gid, {_strip("string_agg(piece, '' order by old)")} as piece from h group by doc_id, gid),
+  q as (select doc_id, row_number() over (partition by doc_id order by gid) - 1 as part, piece from t where piece <> '')"""
 
 
 def _documents_pieces(pieces: str) -> str:
@@ -406,13 +483,14 @@ SQL = {
     "recipe_rows": _RECIPES + " select record_id, chunk_type, md5(text) as text_md5, md5(return_text) as return_md5, corpus from c",
     "clean_markdown": f"select rec_id, md5({_cleaned('section_text')}) as cleaned_md5 from doc_sections where section_text is not null",
     "chunk_split_premerge": _documents_pieces("q as (select doc_id, row_number() over (partition by doc_id order by i) - 1 as part, piece from p)"),
-    "chunk_split": _documents_pieces(
-        f"""g as (select *, sum(case when n = 1 or length({_SMALL}) >= {LIMIT // 10} then 1 else 0 end) over (partition by doc_id order by i) as gid from (select *, row_number() over (partition by doc_id order by i) as n from p)),
-  m as (select doc_id, gid, string_agg(piece, '' order by i) as piece from g group by doc_id, gid),
-  h as (select doc_id, case when gid = 2 and first_small then 1 else gid end as gid, gid as old, piece from (select *, max(case when gid = 1 then length({_SMALL}) < {LIMIT // 10} end) over (partition by doc_id) as first_small from m)),
-  t as (select doc_id, gid, {_strip("string_agg(piece, '' order by old)")} as piece from h group by doc_id, gid),
-  q as (select doc_id, row_number() over (partition by doc_id order by gid) - 1 as part, piece from t where piece <> '')"""
-    ),
+    "chunk_split": _documents_pieces(_MERGED),
+    "build_chunks": _RECIPES.replace("with r as", "with recursive r as", 1)
+    + ", d as (select distinct md5(text) as doc_id, text from c where text is not null),"
+    + _PIECES
+    + f""", {_MERGED},
+  k as (select record_id, chunk_type, 0 as part, text, return_text, corpus from c where length(text) <= {LIMIT}
+    union all select record_id, chunk_type, q.part, q.piece, return_text, corpus from c join q on q.doc_id = md5(c.text) where length(c.text) > {LIMIT})
+  select {_ID} as chunk_id, record_id, chunk_type, part::int as part, {_HASH} as text_hash, corpus from k""",
     "chunk_ids_hashes": f"select chunk_seq, {_ID} as chunk_id, {_HASH} as text_hash, md5(coalesce(nullif(return_text, ''), text)) as document_md5 from chunks",
     "incremental_pending": _OLD_NEW + "select chunk_id, text_hash from f",
     "upsert_result": _UP + "select * from u",
@@ -443,6 +521,29 @@ SQL = {
   select 'api/' || rec_id || '::' || name as name, name as path, 1 as heading_level, trim(doc) as section_text, 'r/' || rec_id || '.md#L3-L4' as source, null as code, 'MIT' as license from a where has = 1
   union all select 'api/' || rec_id || '::' || name || ' > Empty > Explained', name || ' > Empty > Explained', 3, trim(coalesce(explanation, '') || chr(10) || '```sh' || chr(10) || '# not a heading' || chr(10) || '```', chr(10) || ' '), 'r/' || rec_id || '.md#L6-L10', '# not a heading', 'MIT' from a
   union all select 'api/' || rec_id || '::' || name || ' > Last', name || ' > Last', 2, 'end', 'r/' || rec_id || '.md#L11-L12', null, 'MIT' from a""",
+    "code_from_api": f"""with a as (select rec_id, name, kind, substr(name, 11) as rest from api_records where starts_with(name, 'tessarine.')),
+  f as (select *, regexp_matches(name, '{_KEYWORDS}') as broken, 'api/' || kind || '/' || rec_id || '.py' as file, case when kind <> 'module' then 'u/' || rec_id end as url,
+      case when kind = 'module' then null when kind = 'class' then case when rec_id % 2 = 0 then 'ISC' end else 'MIT' end as license from a),
+  -- inner parts of a dotted name are references too: those that are no known name of their own go to the longest known one, or are unknown
+  p as (select rec_id, unnest(list_transform(range(2, len(string_split(name, '.')) + 1), lambda i: array_to_string(string_split(name, '.')[1:i], '.'))) as ref from a),
+  k as (select p.rec_id, p.ref, max(length(b.name)) as n from p left join (select distinct name from a) b on p.ref = b.name or starts_with(p.ref, b.name || '.') group by all),
+  u as (select rec_id, coalesce(string_agg(ref, ',' order by ref) filter (n is null), '') as lost, list_sort(list_distinct(list_append(coalesce(list(ref) filter (n is null), []), 'tessarine.nosuch'))) as l from k group by 1),
+  s as (select f.*, lost, array_to_string(list_sort(list_append(l, 'tessarine.nosuch.thing')), ',') as more from f join u using (rec_id))
+  select file || '::use' as name, 'example' as kind, url || '#L3-L4' as source, license, name as apis_used, lost as unknown_refs, md5('def use():' || chr(10) || '    return ' || name || '()') as code_md5, 'api' as corpus from s where not broken
+  union all select file || '::Kit', 'example', url || '#L5-L9', license, name, more, md5('@deco' || chr(10) || 'class Kit:' || chr(10) || '    x = ts.' || rest || chr(10) || '    def m(self):' || chr(10) || '        tessarine.nosuch.thing'), 'api' from s where not broken
+  union all select file, 'example', url || '#L1-L10', license, name, more, md5('import tessarine' || chr(10) || 'import tessarine as ts' || chr(10) || 'print(' || name || ')'), 'api' from s where not broken
+  union all select kind || '/' || rec_id || '.py', null, null, null, null, null, null, null from s where broken""",
+    "code_scores_from_api": f"""with a as (select distinct name, split_part(name, '.', 2) as module from api_records where starts_with(name, 'tessarine.')),
+  w as (select * from a where not regexp_matches(name, '{_KEYWORDS}')),
+  p as (select distinct module, unnest(list_transform(range(2, len(string_split(name, '.')) + 1), lambda i: array_to_string(string_split(name, '.')[1:i], '.'))) as ref from w),
+  k as (select p.module, p.ref, count(b.name) as n from p left join (select distinct name from a) b on p.ref = b.name or starts_with(p.ref, b.name || '.') group by all),
+  u as (select module, list_sort(list_concat(coalesce(list(ref) filter (n = 0), []), ['tessarine.nosuch', 'tessarine.nosuch.thing'])) as l from k group by 1),
+  m as (select a.module, count(*) as n from w a where not exists (select 1 from w o where starts_with(o.name, a.name || '.')) group by 1),
+  t as (select module, count(*) as n from w group by 1)
+  select module || '.py' as path, m.n::int as n_apis, array_to_string(l, ',') as unknown_refs, len(l)::int as n_unknown, (t.n + 3)::int as lines, m.n::int as max_apis_in_function, (m.n >= 3)::int as qualifying_functions from m join u using (module) join t using (module)""",
+    "tree_roundtrip": """select 'code' as prefix, rec_id % 7 || '/' || rec_id || '.py' as path, md5(coalesce(code, '')) as content_md5, 'u/' || rec_id as url, case when rec_id % 3 <> 0 then license else 'none' end as license from code_records
+  union all select 'docs', rec_id % 7 || '/' || rec_id || '.md', md5(coalesce(section_text, '')), null, null from doc_sections""",
+    "chunk_files": "select coalesce(corpus, 'None') as corpus, chunk_type, count(*) as n, sum(coalesce(part, 0))::bigint as parts, sum(length(text))::bigint as chars, count(return_text) as n_returned, count(distinct record_id) as n_records from chunks group by 1, 2",
     "knn_hits": _NEAR + ", d as (select s.record_id, s.vec_id, list_cosine_distance(s.e, q.e) as x from s, (select e from s where vec_id = 0) q), b as (select record_id, vec_id, x from d qualify row_number() over (partition by record_id order by x, 'v' || vec_id) = 1) select record_id, 'example' as matched_chunk_type, round(x, 6) as distance, vec_id::varchar as text from b order by x, record_id limit 5",
     "knn_batch": _NEAR + ", d as (select q.vec_id as query_id, s.record_id, min(list_cosine_distance(s.e, q.e)) as x from s, (select * from s where vec_id % 50 = 0) q group by 1, 2) select query_id, record_id, round(x, 6) as distance, row_number() over (partition by query_id order by x, record_id)::int as rank from d qualify rank <= 5",
     "cosine_pairs": _NEAR + " select s.vec_id, round(list_cosine_distance(s.e, q.e), 6) as distance from s, (select e from s where vec_id = 0) q",

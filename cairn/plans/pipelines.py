@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cairn.config import Config
 from cairn.operators import chunking, enrich, markdown, policy, pycode, search, signatures
 from cairn.operators.store import VectorStore
+from cairn.runtime import filesystem
 from cairn.sources import fetch, files, introspect, records
 
 
@@ -34,6 +35,38 @@ def source_records(spark: SparkSession, config: Config, known: DataFrame) -> tup
     return records.align(code).unionByName(records.align(docs)), errors
 
 
+def official_source(spark: SparkSession, config: Config, client: fetch.Fetcher, package_url: str, tags: DataFrame, tree: DataFrame, raw_url: Callable[[fetch.Source, str], str], prefix: str = "official") -> tuple[fetch.Source, DataFrame]:
+    """(where the examples lie, the files with whether they were fetched): the example files of the library's own repository
+    are downloaded below src/<prefix> with their manifest, where ``source_records`` reads them. ``raw_url`` makes the address
+    of a file's content from the source and a name."""
+    source = fetch.resolve_source(spark, config, fetch.package_metadata(client, package_url), tags, tree)
+    folder = f"{config.src_dir}/{prefix}"
+    got = fetch.download(fetch.example_files(tree, source), client, F.concat(F.lit(raw_url(source, "")), F.col("path")), folder, config.politeness_seconds)
+    fetch.write_manifest(spark, fetch.manifest(source, got.where("fetched")), folder, config.manifest)
+    return source, got
+
+
+def community_files(spark: SparkSession, config: Config, candidates: DataFrame, client: fetch.Fetcher, url_of_file: Column, prefix: str = "community") -> DataFrame:
+    """The recommended candidates downloaded below src/<prefix>, with a manifest of one licence per file."""
+    chosen = candidates.where("recommended").select("repo", F.col("path").alias("repo_path"), "branch", "license", F.col("local_path").alias("path"), F.col("source").alias("page"))
+    folder = f"{config.src_dir}/{prefix}"
+    seen = chosen.withColumn("_path", F.col("path")).withColumn("path", F.col("repo_path")).withColumn("_at", url_of_file)
+    got = fetch.download(seen.withColumn("path", F.col("_path")).drop("_path"), client, F.col("_at"), folder, config.politeness_seconds).drop("_at")
+    rows = got.where("fetched").select("path", "page", "license").collect()  # as many as a report recommends, and a manifest names them all
+    fetch.write_manifest(spark, {"source": prefix, "license": None, "files": {r.path: r.page for r in rows}, "licenses": {r.path: r.license for r in rows}}, folder, config.manifest)
+    return got
+
+
+def import_only(read: DataFrame) -> DataFrame:
+    """(prefix, path): files that parse and refer to nothing of the library, of the output of ``pycode.read_code``."""
+    return read.where(F.col("error").isNull() & ~F.exists("segments", lambda s: F.size(s.getField("refs")) > 0)).select("prefix", "path")
+
+
+def duplicates(rows: DataFrame) -> DataFrame:
+    """(corpus, name, n): names that a corpus has more than once."""
+    return rows.groupBy("corpus", "name").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
 def summary(rows: DataFrame) -> DataFrame:
     """Per corpus and kind: records, those with unknown references, licences."""
     return rows.groupBy("corpus", "kind").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.size("unknown_refs") > 0).alias("n_unknown"), F.array_sort(F.collect_set("license")).alias("licenses"))
@@ -72,6 +105,22 @@ def explained(rows: DataFrame, complete: Callable[[str, str], str], config: Conf
     return enrich.explain(todo, complete, config.attempts, config.retry_seconds)
 
 
+def explain_all(rows: DataFrame, complete: Callable[[str, str], str], table: str, config: Config = Config(), skip_kinds: Sequence[str] = (), blocks: int = 16) -> DataFrame:
+    """rows with explanations, which are kept in a table of their own: what it has isn't asked for again.
+
+    Pending records are split into ``blocks`` by name, each of which is appended when it is done, so a job that dies repeats at
+    most one block. What failed isn't kept and stays pending.
+    """
+    spark = rows.sparkSession
+    kept = "name string, explanation string"
+    fs, to = filesystem(spark, table)
+    have = lambda: spark.read.schema(kept).parquet(table) if fs.exists(to(table)) else spark.createDataFrame([], kept)
+    for k in range(blocks):
+        block = rows.where(F.pmod(F.xxhash64("name"), F.lit(blocks)) == k).join(have().select("name").distinct(), "name", "left_anti")
+        explained(block, complete, config, skip_kinds).where("explanation is not null").select("name", "explanation").write.mode("append").parquet(table)
+    return enrich.with_explanations(rows, have().dropDuplicates(["name"]).withColumn("error", F.lit(None).cast("string")))
+
+
 def invalidation_report(rows: DataFrame, fields: Sequence[str] = (), everything: bool = False, shown: int = 10) -> dict:
     """What an invalidation would touch: how many, the first names, how many more."""
     hit = policy.invalidate(rows, fields, everything).where("invalidated").select("name")

@@ -1,4 +1,4 @@
-"""The engine's record, chunk, vector and hit shapes, as DDL."""
+"""The engine's record and vector shapes, as DDL."""
 
 PARAMETERS = "array<array<struct<name:string,type:string,required:boolean,default:string>>>"
 
@@ -8,14 +8,7 @@ RECORD = (
     "source string, license string, apis_used array<string>, unknown_refs array<string>, code string, "
     "heading_path array<string>, heading_level int, section_text string, corpus string"
 )
-CHUNK = "record_id string, chunk_type string, part int, text string, return_text string, corpus string"
 VECTOR = "chunk_id string, record_id string, chunk_type string, text_hash string, embedding array<float>, document string"
-HIT = "record_id string, matched_chunk_type string, distance double, text string"
-CANDIDATE = (
-    "repo string, path string, branch string, local_path string, source string, license string, stars int, pushed_at string, "
-    "recommended boolean, apis_used array<string>, unknown_refs array<string>, lines int, max_apis_in_function int, qualifying_functions int"
-)
-REPO = "repo string, branch string, path string, stars int, license string, pushed_at string, is_fork boolean, archived boolean"
 
 
 def columns(ddl: str) -> list[str]:

@@ -6,8 +6,10 @@ everything here runs on fixtures; an HTTP client of the user's is passed in wher
 
 from __future__ import annotations
 
+import json
 import re
 import time
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from typing import Protocol
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 
 from cairn.config import Config
 from cairn.operators.policy import best_example_dir, example_dirs, resolve_ref
+from cairn.runtime import filesystem, materialise
 
 REPO_KEYS = ("Source", "Source Code", "Repository", "GitHub", "Code", "Homepage")
 
@@ -50,15 +53,35 @@ class Unresolved(LookupError):
         self.setting = setting
 
 
-def search_results(spark: SparkSession, fetcher: Fetcher, url_of_page: Callable[[int], str], pages: int) -> DataFrame:
-    """(repo, branch, path): hits of a code search, pages 1..n, one task a page; stops at nothing, empty pages give none."""
+def auth_headers(token: str | None = None) -> dict[str, str]:
+    """What a client sends to the repository host; without a token the requests are anonymous."""
+    return {"Accept": "application/vnd.github+json"} | ({"Authorization": f"Bearer {token}"} if token else {})
+
+
+def package_metadata(fetcher: Fetcher, url: str) -> dict:
+    """The metadata of the package index."""
+    found = fetcher.json(url)
+    if not isinstance(found, dict):
+        raise Unresolved("package", f"{url} gives no metadata")
+    return found
+
+
+def _paced(rows: DataFrame, pause: float, tasks: int = 1) -> tuple[DataFrame, float]:
+    """rows in at most ``tasks`` partitions if calls must be paced, and the pause of each task, so that the whole job makes one call per ``pause``."""
+    return (rows, 0.0) if pause <= 0 else (rows.repartition(tasks), pause * tasks)
+
+
+def search_results(spark: SparkSession, fetcher: Fetcher, url_of_page: Callable[[int], str], pages: int, pause: float = 0.0) -> DataFrame:
+    """(repo, branch, path): hits of a code search, pages 1..n, one task a page (one in all if paced); stops at nothing, empty pages give none."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for page in pdf["id"]:
+                time.sleep(wait)
                 yield pd.DataFrame([(h["repo"], h.get("branch"), h["path"]) for h in fetcher.json(url_of_page(int(page) + 1)) or []], columns=["repo", "branch", "path"])
 
-    return spark.range(pages, numPartitions=max(1, pages)).mapInPandas(read, "repo string, branch string, path string")
+    numbers, wait = _paced(spark.range(pages, numPartitions=max(1, pages)), pause)
+    return numbers.mapInPandas(read, "repo string, branch string, path string")
 
 
 def repo_files(hits: DataFrame) -> DataFrame:
@@ -74,7 +97,7 @@ def repo_metadata(repos: DataFrame, fetcher: Fetcher, url_of_repo: Callable[[str
         for pdf in batches:
             rows = []
             for repo in pdf["repo"]:
-                time.sleep(pause)
+                time.sleep(wait)
                 try:
                     m = fetcher.json(url_of_repo(repo))
                 except LookupError:
@@ -83,23 +106,26 @@ def repo_metadata(repos: DataFrame, fetcher: Fetcher, url_of_repo: Callable[[str
                 rows.append((m.get("stargazers_count"), (m.get("license") or {}).get("spdx_id") or "NO-LICENSE", (m.get("pushed_at") or "")[:10], bool(m.get("fork")), bool(m.get("archived"))))
             yield pd.concat([pdf.reset_index(drop=True), pd.DataFrame(rows, columns=["stars", "license", "pushed_at", "is_fork", "archived"])], axis=1)
 
-    return repos.mapInPandas(read, _ddl(repos) + ", stars bigint, license string, pushed_at string, is_fork boolean, archived boolean")
+    paced, wait = _paced(repos, pause)
+    return paced.mapInPandas(read, _ddl(repos) + ", stars bigint, license string, pushed_at string, is_fork boolean, archived boolean")
 
 
-def file_contents(files: DataFrame, fetcher: Fetcher, url: Column) -> DataFrame:
+def file_contents(files: DataFrame, fetcher: Fetcher, url: Column, pause: float = 0.0) -> DataFrame:
     """files with content; null where the file can't be read."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             got = []
             for u in pdf["_url"]:
+                time.sleep(wait)
                 try:
                     got.append(fetcher.text(u))
                 except LookupError:
                     got.append(None)
             yield pdf.drop(columns="_url").assign(content=got)
 
-    return files.withColumn("_url", url).mapInPandas(read, _ddl(files) + ", content string")
+    paced, wait = _paced(files.withColumn("_url", url), pause)
+    return paced.mapInPandas(read, _ddl(files) + ", content string")
 
 
 def _ddl(df: DataFrame) -> str:
@@ -140,7 +166,7 @@ def resolve_source(spark: SparkSession, config: Config, package: dict, tags: Dat
     repo = repo or repo_of_urls(info.get("project_urls") or {})
     if not repo:
         raise Unresolved("repo", "no project link names a repository")
-    license = license or info.get("license_expression") or info.get("license")
+    license = (license or "").strip() or (info.get("license") or "").strip() or (info.get("license_expression") or "").strip()
     if not license:
         raise Unresolved("license", "the package metadata names none")
     found = resolve_ref(config.version, tags).collect()
@@ -159,6 +185,54 @@ def is_example_file(path: Column) -> Column:
     return name.endswith(".py") & (name != "conftest.py")
 
 
+def write_files(files: DataFrame, folder: str) -> DataFrame:
+    """(path, bytes) written: every (path, content) as a file below a folder that all executors reach, by the tasks; null content writes none.
+
+    A file is written whole under another name first, so a task that is run again leaves what the first one would have.
+    """
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow.fs import FileSystem
+
+        fs, root = FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        for pdf in batches:
+            sizes = []
+            for path, content in zip(pdf["path"], pdf["content"]):
+                if content is None:
+                    sizes.append(None)
+                    continue
+                data, target = content.encode("utf-8"), f"{root}/{path}"
+                above, name = target.rsplit("/", 1)
+                temp = f"{above}/.{name}.{uuid.uuid4().hex}"
+                fs.create_dir(above, recursive=True)
+                with fs.open_output_stream(temp) as out:
+                    out.write(data)
+                fs.move(temp, target)
+                sizes.append(len(data))
+            yield pd.DataFrame({"path": pdf["path"], "bytes": sizes}).astype({"bytes": "Int64"})
+
+    return files.select("path", "content").mapInPandas(write, "path string, bytes bigint")
+
+
+def write_manifest(spark: SparkSession, entry: dict, folder: str, name: str = "_manifest.json") -> None:
+    """The manifest of a source directory, replacing an older one."""
+    fs, to = filesystem(spark, folder)
+    fs.mkdirs(to(folder))
+    out = fs.create(to(f"{folder}/{name}"), True)
+    try:
+        out.write(json.dumps(entry, ensure_ascii=False, indent=2).encode("utf-8"))
+    finally:
+        out.close()
+
+
+def download(files: DataFrame, fetcher: Fetcher, url: Column, folder: str, pause: float = 0.0) -> DataFrame:
+    """(path, url, fetched): the files (path, url) fetched and written below a folder, with whether they could be read."""
+    # a call per file: what was fetched is written down before it is read twice
+    got = materialise(file_contents(files, fetcher, url, pause), "fetched")
+    written = materialise(write_files(got, folder), "written")
+    return got.drop("content").join(written.where("bytes is not null").select("path", F.lit(True).alias("fetched")), "path", "left").withColumn("fetched", F.coalesce("fetched", F.lit(False)))
+
+
 def example_files(tree: DataFrame, source: Source, blob_url: Callable[[Source, str], str] | None = None) -> DataFrame:
     """(path, url): the example files directly in the source's directory."""
     blob = blob_url or (lambda s, d: f"https://github.com/{s.repo}/blob/{s.ref}/{d}")

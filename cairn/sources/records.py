@@ -22,6 +22,15 @@ def read_jsonl(spark: SparkSession, path: str, schema: str = RECORD, corpus: boo
     return rows.select(*[c for c in rows.columns if c != "corpus"], (F.coalesce(F.col("corpus"), stem) if "corpus" in rows.columns else stem).alias("corpus"))
 
 
+CHUNK = "record_id string, chunk_type string, part int, text string, return_text string"
+
+
+def read_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """All chunk files ``*_chunks.jsonl`` (or folders of that name) of a folder as one table; corpus is the name before that."""
+    rows = spark.read.schema(CHUNK).option("mode", "FAILFAST").option("recursiveFileLookup", True).json(f"{folder.rstrip('/')}/*_chunks.jsonl")
+    return rows.withColumn("corpus", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)_chunks\.jsonl", 1))
+
+
 def write_jsonl(df: DataFrame, path: str) -> None:
     """JSON lines; the nulls of nested structs stay explicit, top-level nulls are left out as in the records."""
     packed = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "true"})
