@@ -232,3 +232,25 @@ def test_sections_of_doc_files(spark, tmp_path):
                 want.append((f"doc/{i}::{path}", path, titles[-1][0], "\n".join(body).strip(), f"d/{i}.md#L{first}-L{end}", "\n".join(code) or None, None))
     got = [tuple(r) for r in catalog.sections_from_doc_files(spark, str(tmp_path)).collect()]
     assert sorted(got, key=str) == sorted(want, key=str) and len(want) >= 5
+
+
+def test_values_as_python_prints_them(spark):
+    import json
+
+    from cairn.functions import fields
+
+    values = [True, False, None, 1, -2.5, "auto", "it's", 'say "x"', "true null", [1, 2], ["a", "it's", 'b"', None, True], {"k": [1.5, "null"], "é": {"z": "a\\b"}}, [], {}, ""]
+    df = spark.createDataFrame([(i, json.dumps(v, ensure_ascii=False)) for i, v in enumerate(values)] + [(99, None)], "i int, value string")
+    got = {r.i: r.f for r in df.select("i", fields.field("value").alias("f")).collect()}
+    assert got == {i: f"value: {v}" for i, v in enumerate(values)} | {99: None}
+
+
+def test_policy_files_keep_each_string(spark):
+    source = "import x\nA = ['a', x, 'b', *more]\nB = ('c', 'a')\nC = 'no'\nD = [1]\ndef f():\n    E = ['no']\n"
+    assert policy.load_prefixes(source) == ["a", "b", "c"]
+
+
+def test_long_docstrings_keep_their_lines(spark):
+    doc = "f(x)\n" + "\n".join(f"line {i}" for i in range(3000))
+    out = spark.createDataFrame([(doc,), ("",), ("f(x)",)], "d string").select(signatures.prose(F.lit("method"), F.col("d")).alias("p")).collect()
+    assert out[0].p.count("\n") == 2999 and out[1].p is None and out[2].p is None

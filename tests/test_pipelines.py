@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from cairn.config import Config
@@ -52,3 +53,60 @@ def test_community_candidates(spark):
     assert [(r.path, r.recommended, r.qualifying_functions, r.unknown_refs) for r in rows] == [("a.py", True, 1, []), ("b.py", False, 1, ["lib.gone", "lib.gone.w"])]
     assert rows[0].local_path == "o__good/a.py"
     assert {r.repo: r.reason for r in away.collect()} == {"o/fork": "fork", "o/gone": "licence NO-LICENSE"}
+
+
+def test_official_examples_come_down_with_their_manifest(spark, tmp_path):
+    config = Config(library="lib", version="1", root=str(tmp_path), politeness_seconds=0)
+    package = {"info": {"project_urls": {"Source": "https://github.com/o/r"}, "license": " MIT "}}
+    code = "import lib\n\ndef f():\n    return lib.core.weld()\n"
+    client = fetch.FixtureFetcher({"pkg": package, "raw/examples/a.py": code, "raw/examples/é.py": code})
+    tags = spark.createDataFrame([("v1",)], "tag string")
+    tree = spark.createDataFrame([(f"examples/{n}",) for n in ("a.py", "é.py", "gone.py", "conftest.py", "sub/b.py")], "path string")
+    source, got = pipelines.official_source(spark, config, client, "pkg", tags, tree, lambda s, name: f"raw/{s.path}/{name}")
+    assert source.license == "MIT" and {r.path: r.fetched for r in got.collect()} == {"a.py": True, "é.py": True, "gone.py": False}
+    rows, errors = pipelines.source_records(spark, config, spark.createDataFrame([("lib.core.weld",)], "name string"))
+    found = {r.name: (r.source, r.license) for r in rows.collect()}
+    assert found["official/a.py::f"] == ("https://github.com/o/r/blob/v1/examples/a.py#L3-L4", "MIT") and "official/é.py::f" in found and len(found) == 4
+    blank = fetch.FixtureFetcher({"pkg": {"info": package["info"] | {"license": "  "}}})
+    with pytest.raises(fetch.Unresolved, match="license"):
+        pipelines.official_source(spark, config, blank, "pkg", tags, tree, lambda s, n: n)
+    assert fetch.auth_headers("t")["Authorization"] == "Bearer t" and "Authorization" not in fetch.auth_headers()
+
+
+def test_community_files_come_down_with_a_licence_each(spark, tmp_path):
+    config = Config(library="lib", version="1", root=str(tmp_path), politeness_seconds=0)
+    client = fetch.FixtureFetcher({"f/o/r/a.py": "import lib\nlib.core.weld()\n"})
+    cols = "repo string, path string, branch string, local_path string, source string, license string, recommended boolean"
+    rows = spark.createDataFrame([("o/r", "a.py", "main", "o__r/a.py", "page", "MIT", True), ("o/r", "b.py", "main", "o__r/b.py", "page", "MIT", False)], cols)
+    got = pipelines.community_files(spark, config, rows, client, F.concat(F.lit("f/"), "repo", F.lit("/"), "path"))
+    assert [(r.path, r.fetched) for r in got.collect()] == [("o__r/a.py", True)]
+    made, _ = pipelines.source_records(spark, config, spark.createDataFrame([("lib.core.weld",)], "name string"))
+    assert [(r.name, r.source, r.license) for r in made.collect()] == [("community/o__r/a.py", "page#L1-L2", "MIT")]
+
+
+def test_explanations_are_kept_and_asked_for_once(spark, tmp_path):
+    asked = tmp_path / "asked"
+
+    def complete(system, user):
+        with open(asked, "a") as f:
+            f.write("x")
+        if "Explain `b`" in user and asked.stat().st_size < 20:
+            raise TimeoutError("slow")
+        return "told"
+
+    rows = spark.createDataFrame([(n, "function", None) for n in "abcdef"] + [("g", "class", "kept")], "name string, kind string, explanation string")
+    config, table = Config(attempts=1, retry_seconds=0), f"file://{tmp_path}/explanations"
+    first = {r.name: r.explanation for r in pipelines.explain_all(rows, complete, table, config, blocks=3).collect()}
+    assert first == {n: "told" for n in "acdef"} | {"b": None, "g": "kept"} and asked.stat().st_size == 6
+    asked.write_text("x" * 30)
+    assert {r.explanation for r in pipelines.explain_all(rows, complete, table, config, blocks=3).collect()} == {"told", "kept"}
+    assert asked.stat().st_size == 31  # only what had failed
+
+
+def test_summaries(spark):
+    from cairn.operators import pycode
+
+    files = spark.createDataFrame([("x", "a.py", "import lib\nlib.b.c()"), ("x", "b.py", "import os\nos.x()"), ("x", "c.py", "def (")], "prefix string, path string, content string")
+    assert [r.path for r in pipelines.import_only(pycode.read_code(files, "lib")).collect()] == ["b.py"]
+    rows = spark.createDataFrame([("k", "a"), ("k", "a"), ("l", "a"), ("k", "b")], "corpus string, name string")
+    assert [tuple(r) for r in pipelines.duplicates(rows).collect()] == [("k", "a", 2)]
