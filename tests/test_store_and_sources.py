@@ -95,10 +95,36 @@ def test_search_golden(spark):
     q = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "query_id bigint, vector array<double>")
     a = sorted((r.query_id, r["rank"], r.record_id) for r in search.search_batch(df.union(odd), q, 2).collect())
     assert a == [(1, 1, "r1"), (1, 2, "r2"), (2, 1, "r3"), (2, 2, "r1")]
-    b = sorted((r.query_id, r["rank"], r.record_id) for r in search.search_batch(df.union(odd), q, 2, blocks=3).collect())
+    b = sorted((r.query_id, r["rank"], r.record_id) for r in search.search_batch(df.union(odd), q, 2, block=1, rows=1).collect())
     assert a == b
 
 
+def test_batch_search_against_brute_force(spark):
+    import random
+
+    rng = random.Random(5)
+    vector = lambda: [float(rng.choice((-1, 0, 1))) for _ in range(4)]  # few values, so that there are ties
+    rows = [(str(i), f"r{rng.randrange(40)}", "t", "h", vector(), "d") for i in range(300)] + [("n", None, "t", "h", [1.0] * 4, "d"), ("m", None, "t", "h", [1.0, 1.0, 1.0, 0.0], "d")]
+    asked = [(i, vector()) for i in range(30)] + [(98, None), (99, [1.0])]
+    df, q = spark.createDataFrame(rows, VECTOR), spark.createDataFrame(asked, "query_id bigint, vector array<double>")
+
+    def distance(a, b):
+        size = (sum(x * x for x in a) * sum(x * x for x in b)) ** 0.5
+        return 1 - sum(x * y for x, y in zip(a, b)) / size if size else None
+
+    want = []
+    for i, v in asked[:30]:
+        best = {}
+        for _, r, _, _, e, _ in rows:
+            if (d := distance(v, e)) is not None and (r not in best or d < best[r]):
+                best[r] = d
+        want += [(i, round(d, 9)) for _, d in sorted(best.items(), key=lambda x: (x[1], x[0] or ""))[:5]]
+    for block, many in ((512, 8192), (7, 50), (1, 20)):
+        got = search.search_batch(df.repartition(3), q, 5, block=block, rows=many).collect()
+        assert sorted((r.query_id, round(r.distance, 9)) for r in got) == sorted(want)
+    assert search.search_batch(df.limit(0), q).count() == search.search_batch(df, q.limit(0)).count() == 0
+
+
 def test_explanations(spark):
     rows = spark.createDataFrame([("a", "function", None, None), ("b", "example", "code()", ""), ("c", "class", None, "kept")], "name string, kind string, code string, explanation string")
     out = enrich.explain(rows, lambda system, user: f"{len(system) > 0} {user.splitlines()[-1]}", first_pause=0)
