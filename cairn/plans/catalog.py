@@ -322,7 +322,7 @@ def code_scores_from_api(spark, sf_dir):
 
 
 def tree_roundtrip(spark, sf_dir):
-    """Code and documentation written as source trees with their manifests, and read back with what the manifests say."""
+    """Code and documentation written as source trees with their manifests, and read back with what the manifests say; empty files are none."""
     home = scratch(spark, "tree")
     rows = lambda name, text, end: table(spark, sf_dir, name).select("rec_id", "license", F.concat(F.col("rec_id").cast("string"), F.lit(end)).alias("path"), F.coalesce(text, F.lit("")).alias("content"))
     for prefix, name, text, end in (("code", "code_records", "code", ".py"), ("docs", "doc_sections", "section_text", ".md")):
@@ -541,8 +541,8 @@ SQL = {
   m as (select a.module, count(*) as n from w a where not exists (select 1 from w o where starts_with(o.name, a.name || '.')) group by 1),
   t as (select module, count(*) as n from w group by 1)
   select module || '.py' as path, m.n::int as n_apis, array_to_string(l, ',') as unknown_refs, len(l)::int as n_unknown, (t.n + 3)::int as lines, m.n::int as max_apis_in_function, (m.n >= 3)::int as qualifying_functions from m join u using (module) join t using (module)""",
-    "tree_roundtrip": """select 'code' as prefix, rec_id % 7 || '/' || rec_id || '.py' as path, md5(coalesce(code, '')) as content_md5, 'u/' || rec_id as url, case when rec_id % 3 <> 0 then license else 'none' end as license from code_records
-  union all select 'docs', rec_id % 7 || '/' || rec_id || '.md', md5(coalesce(section_text, '')), null, null from doc_sections""",
+    "tree_roundtrip": """select 'code' as prefix, rec_id % 7 || '/' || rec_id || '.py' as path, md5(coalesce(code, '')) as content_md5, 'u/' || rec_id as url, case when rec_id % 3 <> 0 then license else 'none' end as license from code_records where code <> ''
+  union all select 'docs', rec_id % 7 || '/' || rec_id || '.md', md5(coalesce(section_text, '')), null, null from doc_sections where section_text <> ''""",
     "chunk_files": "select coalesce(corpus, 'None') as corpus, chunk_type, count(*) as n, sum(coalesce(part, 0))::bigint as parts, sum(length(text))::bigint as chars, count(return_text) as n_returned, count(distinct record_id) as n_records from chunks group by 1, 2",
     "knn_hits": _NEAR + ", d as (select s.record_id, s.vec_id, list_cosine_distance(s.e, q.e) as x from s, (select e from s where vec_id = 0) q), b as (select record_id, vec_id, x from d qualify row_number() over (partition by record_id order by x, 'v' || vec_id) = 1) select record_id, 'example' as matched_chunk_type, round(x, 6) as distance, vec_id::varchar as text from b order by x, record_id limit 5",
     "knn_batch": _NEAR + ", d as (select q.vec_id as query_id, s.record_id, min(list_cosine_distance(s.e, q.e)) as x from s, (select * from s where vec_id % 50 = 0) q group by 1, 2) select query_id, record_id, round(x, 6) as distance, row_number() over (partition by query_id order by x, record_id)::int as rank from d qualify rank <= 5",

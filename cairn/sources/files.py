@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def read_tree(spark: SparkSession, src_dir: str, pattern: str) -> DataFrame:
-    """(prefix, path, content) of the files below src_dir/<prefix>/ that match a glob, at any depth."""
+    """(prefix, path, content) of the files below src_dir/<prefix>/ that match a glob, at any depth; empty files have no row."""
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(src_dir)
     root = src_dir.split("://", 1)[-1].rstrip("/") + "/"
     below = F.substring_index("path", root, -1)
