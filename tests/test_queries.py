@@ -2,9 +2,9 @@
 
 import pytest
 
-from cairn.plans import catalog, core_queries
+from cairn.plans import catalog, core_queries, flows
 
-PAIRS = [(n, q, m.SQL[n]) for m in (catalog, core_queries) for n, q in m.QUERIES.items() if n in m.SQL]
+PAIRS = [(n, q, m.SQL[n]) for m in (catalog, core_queries, flows) for n, q in m.QUERIES.items() if n in m.SQL]
 
 
 @pytest.mark.parametrize("name,query,sql", PAIRS, ids=[p[0] for p in PAIRS])
@@ -13,7 +13,7 @@ def test_matches_sql(check_sql, name, query, sql):
 
 
 def test_rows_only_queries_run(spark):
-    for m in (catalog, core_queries):
+    for m in (catalog, core_queries, flows):
         for n, q in m.QUERIES.items():
             if n not in m.SQL:
                 assert q(spark, "/root/testdata/sf0.001").count() > 0, n
