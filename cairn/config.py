@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from pathlib import Path
 
 # ---- fixed values: recipes, boundary patterns and policies that results depend on
@@ -71,6 +71,10 @@ class Config:
 
     # where things lie
 
+    def anchored(self, file: str) -> Config:
+        """The same with a relative root taken from the folder of ``file`` (the module or script that serves, say), whatever the working folder is."""
+        return self if "://" in self.root else replace(self, root=str((Path(file).resolve().parent / self.root).resolve()))
+
     @property
     def library_dir(self) -> str:
         return f"{self.root}/{self.library}_{self.version}"

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -14,10 +15,15 @@ from cairn.functions.fields import build_text, has_fields
 from cairn.functions.text import CLEANERS
 
 
+@lru_cache(maxsize=64)
+def _searches(patterns: tuple[str, ...]) -> list[Callable]:
+    return [re.compile(p).search for p in patterns]
+
+
 def boundary_ranks(lines: Sequence[str], patterns: Sequence[str] = BOUNDARIES) -> list[int]:
     """Per line the index of the first pattern that occurs in it; the number of patterns if none does."""
-    compiled = [re.compile(p) for p in patterns]
-    return [next((k for k, p in enumerate(compiled) if p.search(line)), len(compiled)) for line in lines]
+    searches = _searches(tuple(patterns))
+    return [next((k for k, search in enumerate(searches) if search(line)), len(searches)) for line in lines]
 
 
 def cut_lines(text: str, limit: int, patterns: Sequence[str] = BOUNDARIES) -> list[str]:
@@ -83,13 +89,14 @@ def split_pieces(text: Column, limit: int | None, patterns: Sequence[str] = BOUN
 
 
 def cut_pieces(text: Column, limit: int, patterns: Sequence[str] = BOUNDARIES) -> Column:
-    """array<string>: the pieces before small ones are merged and without stripping."""
+    """array<string>: the pieces before small ones are merged and without stripping; short texts never leave the JVM."""
 
     @F.pandas_udf("array<string>")
     def cut(s: pd.Series) -> pd.Series:
-        return s.map(lambda t: None if t is None else [t] if len(t) <= limit else cut_lines(t, limit, patterns))
+        return s.map(lambda t: None if t is None else cut_lines(t, limit, patterns))
 
-    return cut(text)
+    long = F.length(text) > limit
+    return F.when(long, cut(F.when(long, text))).when(text.isNotNull(), F.array(text))
 
 
 def recipe_rows(records: DataFrame, config: Config = Config()) -> DataFrame:

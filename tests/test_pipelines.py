@@ -103,6 +103,14 @@ def test_explanations_are_kept_and_asked_for_once(spark, tmp_path):
     assert asked.stat().st_size == 31  # only what had failed
 
 
+def test_paths_do_not_depend_on_the_working_folder(tmp_path, monkeypatch):
+    (tmp_path / "app").mkdir()
+    monkeypatch.chdir("/")
+    config = Config(library="lib", version="1", root="../data").anchored(str(tmp_path / "app" / "serve.py"))
+    assert config.store_dir == f"{tmp_path}/data/lib_1/store"
+    assert Config(root="/x").anchored("/y/z.py").root == "/x" and Config(root="hdfs://n/x").anchored("/y/z.py").root == "hdfs://n/x"
+
+
 def test_summaries(spark):
     from cairn.operators import pycode
 
