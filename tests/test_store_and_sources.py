@@ -50,6 +50,25 @@ def test_a_load_writes_its_change_only(spark, tmp_path, monkeypatch):
     assert s.vacuum() == 4 and s.count() == 50 and s.version() == 5
 
 
+def test_scratch_tables(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from cairn import runtime
+
+    df = runtime.materialise(spark.range(3), "x")
+    where = runtime.filesystem(spark, df.scratch)
+    assert df.scratch.startswith(runtime.shared_dir(spark)) and spark.sparkContext.applicationId in df.scratch and df.count() == 3
+    runtime.discard(df)
+    assert not where[0].exists(where[1](df.scratch))
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://m:7077", _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: SimpleNamespace(isDefined=lambda: False)))))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        runtime.shared_dir(cluster)
+    runtime.write_once(spark, f"file://{tmp_path}/one", "a")
+    with pytest.raises(FileExistsError):
+        runtime.write_once(spark, f"file://{tmp_path}/one", "b")
+    assert runtime.read_text(spark, f"file://{tmp_path}/one") == "a" and [p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")] == ["one"]
+
+
 def test_two_writers(spark, tmp_path):
     a, b = (store.VectorStore.create(spark, f"file://{tmp_path}/s", dim=4) for _ in range(2))
     embed = lambda df: enrich.embed(df, enrich.HashEmbedder(4))
