@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cairn.runtime import materialise, spread
+from cairn.runtime import discard, materialise, spread
 
 WORDS = 4
 MIN_WORDS = 30
@@ -138,6 +139,15 @@ def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(), at - at[0] if len(at) else at
 
 
+def _slices(b: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about ``most`` shingles, so that what numpy holds at once is bounded but for a single longer record."""
+    at, begin = b.column("h").offsets.to_numpy(), 0
+    while begin < b.num_rows:
+        end = max(begin + 1, int(np.searchsorted(at, at[begin] + most, "right")) - 1)
+        yield b.slice(begin, end - begin)
+        begin = end
+
+
 def frequent_cells(sets: DataFrame, width: int = WIDTH) -> np.ndarray:
     """A counter for each of ``width`` (a power of two) ranges of hashes: how many records have a shingle there.
 
@@ -164,7 +174,7 @@ def prefix_rows(sets: DataFrame, t: float) -> DataFrame:
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = order.value, set()
-        for b in batches:
+        for b in chain.from_iterable(map(_slices, batches)):
             keys, (h, at) = b.column("key").to_numpy(), _flat(b.column("h"))
             fresh = np.fromiter((k not in seen and not seen.add(k) for k in keys.tolist()), bool, len(keys))
             if len(seen) > REMEMBERED:
@@ -209,9 +219,9 @@ def tiles(rows: DataFrame, t: float, slot: int = SLOT) -> DataFrame:
     return tiled
 
 
-def candidate_pairs(sets: DataFrame, t: float, slot: int = SLOT) -> DataFrame:
-    """(a, b): pairs of keys that share a tile and pass the bounds by size and position."""
-    tiled = tiles(materialise(prefix_rows(sets, t), "prefixes"), t, slot)
+def candidate_pairs(rows: DataFrame, t: float, slot: int = SLOT) -> DataFrame:
+    """(a, b): pairs of keys whose prefix rows share a tile and pass the bounds by size and position."""
+    tiled = tiles(rows, t, slot)
     # one shuffle serves both sides, so they have the same columns (k: the place, and in the lowest bit whether the row is found here)
     # and what holds for one side alone is asked in the join; two tasks may have emitted one class
     tiled = tiled.repartition("token", "band", "slot")
@@ -255,7 +265,9 @@ def _arrays_of(wanted: DataFrame, sets: DataFrame) -> DataFrame:
 
 def similar_classes(sets: DataFrame, classes: DataFrame, t: float, slot: int = SLOT) -> DataFrame:
     """(a, b, similarity): all pairs of classes with Jaccard similarity of at least t, a < b."""
-    pairs = materialise(_bounded(candidate_pairs(sets, t, slot), classes, t), "pairs")
+    rows = materialise(prefix_rows(sets, t), "prefixes")
+    pairs = materialise(_bounded(candidate_pairs(rows, t, slot), classes, t), "pairs")
+    discard(rows)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
     side = _arrays_of(wanted, sets)
     full = pairs.join(side.toDF("a", "na", "ha"), "a").join(side.toDF("b", "nb", "hb"), "b").select("a", "b", "na", "nb", "ha", "hb")

@@ -101,6 +101,17 @@ def test_a_shingle_in_every_class_is_no_single_task(spark):
     assert sorted((r.rec_id_a, r.rec_id_b) for r in got) == brute(rows)
 
 
+def test_slices_are_the_batch():
+    import pyarrow as pa
+
+    lists = [list(range(k % 5)) for k in range(40)] + [list(range(50)), []]
+    b = pa.record_batch([pa.array(range(42)), pa.array(lists, pa.list_(pa.int64()))], names=["key", "h"])
+    for batch in (b, b.slice(3, 30), b.slice(41)):
+        parts = list(nd._slices(batch, 9))
+        assert [r for p in parts for r in p.to_pylist()] == batch.to_pylist()
+        assert all(sum(map(len, p.column("h").to_pylist())) <= 9 or p.num_rows == 1 for p in parts)
+
+
 def test_position_and_sketch_do_not_decide(spark, monkeypatch):
     rows = corpus(11, 8, 6)
     want = brute(rows)
