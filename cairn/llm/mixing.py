@@ -4,7 +4,9 @@ Method: capped water-filling. Each source gets its share of the total; a source
 epochs than its cap is clamped there, and what it can't give is spread over the others in proportion
 to their shares, again until nothing is above its cap. A source of e epochs gives every document
 floor(e) times and a seeded part of them once more: documents in the order of a seeded hash, up to the
-fraction's tokens (the document at the edge counts if at least half of it is within).
+fraction's tokens (the document at the edge counts if at least half of it is within). Long documents, of more than
+1 / ``FINE`` of the fraction's tokens, come first, up to the fraction of their own tokens, and the others fill up
+what is left, so that the edge is a short document wherever there are any.
 
 The size of the mix is a parameter. By default it is the largest at which no cap keeps a source that has
 tokens from its exact share; a larger mix is as near to the shares as the caps permit.
@@ -28,6 +30,8 @@ from cairn.runtime import materialise, spread
 SEED = 20_240_517
 #: Documents that a bucket holds about: what one sort sees.
 BUCKET = 50_000
+#: A document above the fraction's tokens divided by this is long.
+FINE = 500
 #: The most sources that the target table may list: what the driver holds. More are an error.
 MAX_SOURCES = 100_000
 
@@ -96,15 +100,21 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None,
     sized = materialise(bpe.count_tokens(sized, ["doc_id", "source"], path=path), "tokens")
     plan = plan_mix(sized, targets, total_tokens)
     buckets = max(1, math.ceil(sized.count() / BUCKET))
+    fraction = F.col("epochs") - F.floor("epochs")
+    goal = plan.select("source", F.floor("epochs").cast("int").alias("whole"), fraction.alias("fraction"), (fraction * F.col("available_tokens")).alias("part"))
     # buckets are ranges of the hash, so the order of the documents is the same with any number of them
     h = sized.withColumn("h", F.xxhash64(F.lit(seed), F.col("doc_id"))).withColumn("bucket", F.floor((F.col("h").cast("double") / 2.0**64 + 0.5) * buckets).cast("bigint"))
-    sums = h.groupBy("source", "bucket").agg(F.sum("n_tokens").alias("t"))
-    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select("source", "bucket", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("before"))
-    goal = plan.select("source", F.floor("epochs").cast("int").alias("whole"), ((F.col("epochs") - F.floor("epochs")) * F.col("available_tokens")).alias("part"), "epochs")
-    inside = Window.partitionBy("source", "bucket").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = h.join(starts, ["source", "bucket"]).withColumn("middle", F.col("before") + F.sum("n_tokens").over(inside) - F.col("n_tokens") / 2)
-    counted = placed.join(F.broadcast(goal), "source").select("doc_id", "source", "n_tokens", (F.col("whole") + F.when((F.col("part") > 0) & (F.col("middle") <= F.col("part")), 1).otherwise(0)).cast("int").alias("repeats"))
+    h = h.join(F.broadcast(goal), "source").withColumn("long", F.col("n_tokens") * FINE > F.col("part"))
+    sums = h.groupBy("source", "long", "bucket").agg(F.sum("n_tokens").alias("t"))
+    before = Window.partitionBy("source", "long").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("source", "long", "bucket", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("before"), F.sum("t").over(Window.partitionBy("source", "long")).alias("kind_tokens"))
+    inside = Window.partitionBy("source", "long", "bucket").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = h.join(starts, ["source", "long", "bucket"]).withColumn("middle", F.col("before") + F.sum("n_tokens").over(inside) - F.col("n_tokens") / 2)
+    first = F.col("long") & (F.col("middle") <= F.col("fraction") * F.col("kind_tokens"))
+    # a row per listed source: what the long documents take
+    taken = goal.select("source").join(placed.where(first).groupBy("source").agg(F.sum("n_tokens").alias("taken")), "source", "left").fillna(0, ["taken"])
+    once_more = first | (~F.col("long") & (F.col("middle") <= F.col("part") - F.col("taken")))
+    counted = placed.join(F.broadcast(taken), "source").select("doc_id", "source", "n_tokens", (F.col("whole") + F.when((F.col("part") > 0) & once_more, 1).otherwise(0)).cast("int").alias("repeats"))
     mixed = materialise(counted.where("repeats > 0"), "mix")
     real = mixed.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("mixed_tokens"), F.max("repeats").alias("most_repeats"))
     report = plan.join(real, "source", "left").withColumn("mixed_tokens", F.coalesce("mixed_tokens", F.lit(0)))
