@@ -11,7 +11,7 @@ Any fixed order loses no pair, so none needs the count of every shingle: a sketc
 the size of the data, tells which shingles are frequent. Only prefixes (at 0.7 about 30 % of the shingles) are
 exploded. A record is a class with its exact copies; a task emits the prefix of a class once.
 
-Scale: members of tiles are counted with partial aggregation; tiles of more than ``SLOT`` members are split by
+Scale: members of tiles that the sketch can't prove small are counted with partial aggregation; tiles of more than ``SLOT`` members are split by
 band and into slots before their rows are shuffled, so a hot shingle is many tasks. Arrays of shingles travel
 only for classes that are in a pair, which a bitmap of fixed size picks out in the scan. Classes of copies are
 expanded into pairs only at the end, by joins.
@@ -148,10 +148,10 @@ def _slices(b: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
         begin = end
 
 
-def frequent_cells(sets: DataFrame, width: int = WIDTH) -> np.ndarray:
-    """A counter for each of ``width`` (a power of two) ranges of hashes: how many records have a shingle there.
+def frequent_cells(sets: DataFrame, width: int = WIDTH) -> tuple[np.ndarray, int]:
+    """(a counter for each of ``width`` (a power of two) ranges of hashes, by how much it may be too low): how many records have a shingle there.
 
-    A task leaves out counters below LOCAL, which only makes the order less exact. The result has a fixed size.
+    A task leaves out counters below LOCAL. The result has a fixed size.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,18 +159,24 @@ def frequent_cells(sets: DataFrame, width: int = WIDTH) -> np.ndarray:
         for b in batches:
             total += np.bincount(_cells(_flat(b.column("h"))[0], width), minlength=width)
         at = np.flatnonzero(total >= LOCAL)
-        yield pa.record_batch([pa.array(at), pa.array(total[at])], names=["cell", "c"])
+        # the row of cell -1 counts the tasks
+        yield pa.record_batch([pa.array(np.append(at, -1)), pa.array(np.append(total[at], 1))], names=["cell", "c"])
 
     found = sets.select("h").mapInArrow(count, "cell bigint, c bigint").groupBy("cell").agg(F.sum("c").alias("c")).toArrow()  # at most ``width`` rows
+    cell, c = found.column("cell").to_numpy(), found.column("c").to_numpy()
     out = np.zeros(width, np.int64)
-    out[found.column("cell").to_numpy()] = found.column("c").to_numpy()
-    return out
+    out[cell[cell >= 0]] = c[cell >= 0]
+    return out, (LOCAL - 1) * int(c[cell < 0].sum())
 
 
-def prefix_rows(sets: DataFrame, t: float) -> DataFrame:
-    """(token, key, n, k): of each class the shingles of its prefix with their places in it; copies that one task sees give one."""
+def prefix_rows(sets: DataFrame, t: float, slot: int = SLOT) -> DataFrame:
+    """(token, key, n, k, hot): of each class the shingles of its prefix with their places in it; copies that one task sees give one.
+
+    hot is false only where the sketch proves that at most ``slot`` records have the shingle.
+    """
     spark = sets.sparkSession
-    order = spark.sparkContext.broadcast(np.minimum(frequent_cells(sets), np.iinfo(np.int32).max).astype(np.int32))
+    cells, low_by = frequent_cells(sets)
+    order = spark.sparkContext.broadcast(np.minimum(cells, np.iinfo(np.int32).max).astype(np.int32))
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = order.value, set()
@@ -185,9 +191,11 @@ def prefix_rows(sets: DataFrame, t: float) -> DataFrame:
             place = np.arange(len(h)) - np.repeat(at[:-1], n)
             keep = (place < np.repeat(n - np.ceil(n * t - 1e-9) + 1, n)) & np.repeat(fresh, n)
             row = row[keep]
-            yield pa.record_batch([pa.array(h[by][keep]), pa.array(keys[row]), pa.array(n[row].astype(np.int32)), pa.array(place[keep].astype(np.int32))], names=["token", "key", "n", "k"])
+            token = h[by][keep]
+            hot = counts[_cells(token, len(counts))] > slot - low_by
+            yield pa.record_batch([pa.array(token), pa.array(keys[row]), pa.array(n[row].astype(np.int32)), pa.array(place[keep].astype(np.int32)), pa.array(hot)], names=["token", "key", "n", "k", "hot"])
 
-    return sets.select("key", "h").mapInArrow(prefixes, "token bigint, key bigint, n int, k int")
+    return sets.select("key", "h").mapInArrow(prefixes, "token bigint, key bigint, n int, k int, hot boolean")
 
 
 def _band(n: Column, t: float) -> Column:
@@ -202,7 +210,7 @@ def _checked(small: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
 
 def tiles(rows: DataFrame, t: float, slot: int = SLOT) -> DataFrame:
     """(token, band, slot, key, n, k): prefix rows in the tiles where they are found (k is odd) or look for others; k // 2 is the place."""
-    members = rows.groupBy("token").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > slot)
+    members = rows.where("hot").groupBy("token").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > slot)
     hot = _checked(materialise(members.select("token", F.ceil(F.col("members") / slot).cast("int").alias("slots")), "hot"))
     # a hot tile is cut by band and into slots: a row is looked for in its own slot, and looks in all slots of its own and of the next smaller band.
     # the lookup is salted, for where it isn't a broadcast
@@ -265,7 +273,7 @@ def _arrays_of(wanted: DataFrame, sets: DataFrame) -> DataFrame:
 
 def similar_classes(sets: DataFrame, classes: DataFrame, t: float, slot: int = SLOT) -> DataFrame:
     """(a, b, similarity): all pairs of classes with Jaccard similarity of at least t, a < b."""
-    rows = materialise(prefix_rows(sets, t), "prefixes")
+    rows = materialise(prefix_rows(sets, t, slot), "prefixes")
     pairs = materialise(_bounded(candidate_pairs(rows, t, slot), classes, t), "pairs")
     discard(rows)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()

@@ -88,14 +88,16 @@ def test_a_shingle_in_every_class_is_no_single_task(spark):
     rows = [(i, " ".join([*head, *(f"c{rng.randrange(10**6)}" for _ in range(20))])) for i in range(200)]
     rows += [(1000 + i, " ".join([*head, *head, "x", f"z{i}", *head])) for i in range(100)]  # hardly anything else: it is in their prefixes
     sets = nd.shingle_sets(frame(spark, rows))
-    prefixes = nd.prefix_rows(sets, 0.7)
+    prefixes = nd.prefix_rows(sets, 0.7, 16)
     tiled = nd.tiles(prefixes, 0.7, slot=16).collect()
     members, found = {}, {}
+    rows_of = {r.token: r.hot for r in prefixes.collect()}
     for r in prefixes.collect():
         members.setdefault(r.token, set()).add(r.key)
     for r in tiled:
         if r.k % 2:
             found.setdefault((r.token, r.band, r.slot), set()).add(r.key)
+    assert all(rows_of[t] for t, m in members.items() if len(m) > 16)
     assert max(map(len, members.values())) >= 100 and max(map(len, found.values())) < 40
     got = nd.near_duplicate_pairs(frame(spark, rows), slot=16).collect()
     assert sorted((r.rec_id_a, r.rec_id_b) for r in got) == brute(rows)
